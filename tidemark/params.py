@@ -34,7 +34,8 @@ class ScoreParams:
     business_grace_days: int = 30      # added when in renewal grace
     headers: str = "friendly"          # "friendly" or "technical"
     max_iter: int = 1000
-    tol: float = 1e-10
+    tol: float = 1e-8
+    rows_per_partition: int = 500_000  # training partitions: ceil(n / this)
     median_accuracy: int = 100000      # sketch accuracy that brackets the exact median
     feature_cols: tuple[str, ...] = field(default_factory=lambda: tuple(FEATURE_COLUMNS))
 

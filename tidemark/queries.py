@@ -5,15 +5,20 @@ types match the DuckDB oracle in ``oracle/sql.py``."""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import snapshot as snap
 from tidemark.operators.spine import month_start, spine_months
 from tidemark.operators.timeline import daily_rollup, invoice_gap_rows, timeline_features
-from tidemark.params import CadenceParams
+from tidemark.params import CadenceParams, ScoreParams
+from tidemark.plans import churn, report
+from tidemark.plans import model as M
+from tidemark.plans import select as sel
+from tidemark.plans.rules import business_rule
 from tidemark.sources import raw_feeds
 
 P = CadenceParams()
@@ -236,4 +241,116 @@ SNAPSHOT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-ALL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**SNAPSHOT_QUERIES}
+# ---- scoring stage (A9, A10, G, H, I) ------------------------------------
+# Fixed run parameters of the registered queries (dates inside the data).
+RUN_DATE = "2001-12-01"
+AS_OF = "1999-01-01"
+TODAY = "2001-10-01"
+TOP_N = 1000
+CREATED_ON = datetime.datetime(2001, 12, 1, 8, 0, 0)
+S = ScoreParams()
+
+
+def _features(spark, sf_dir):
+    return sel.feature_frame(_snapshot(spark, sf_dir), S.target_col, RUN_DATE)
+
+
+def _latest(spark, sf_dir):
+    return sel.model_rows(_snapshot(spark, sf_dir), S.target_col, RUN_DATE)
+
+
+def features_top_n(spark, sf_dir):
+    return sel.top_n(_features(spark, sf_dir), TOP_N)
+
+
+def as_of_snapshot(spark, sf_dir):
+    return sel.model_rows(_snapshot(spark, sf_dir), S.target_col, RUN_DATE, as_of=AS_OF)
+
+
+def latest_snapshot_per_customer(spark, sf_dir):
+    return _latest(spark, sf_dir)
+
+
+def business_rule_today(spark, sf_dir):
+    return business_rule(_latest(spark, sf_dir), TODAY, S).select(
+        "customer_id", "as_of_date", "in_renewal_grace", "days_since_last_purchase_today",
+        "business_churn_now", "business_churn_reason")
+
+
+def _model_input(spark, sf_dir):
+    rows = M.materialize(_latest(spark, sf_dir))
+    return M.coerce_features(rows, list(S.feature_cols)), rows
+
+
+def feature_medians(spark, sf_dir):
+    work, _ = _model_input(spark, sf_dir)
+    cols = list(S.feature_cols)
+    med, cnt = M.exact_medians(work, cols, S.median_accuracy)
+    return spark.createDataFrame(
+        [(c, j, med[j], cnt[j]) for j, c in enumerate(cols)],
+        "feature string, idx int, median double, n_values bigint")
+
+
+def feature_scaling(spark, sf_dir):
+    """Means and population stds of the imputed features, to 7 significant
+    digits (floating sums differ in the last bits between engines)."""
+    work, _ = _model_input(spark, sf_dir)
+    cols = list(S.feature_cols)
+    med, _cnt = M.exact_medians(work, cols, S.median_accuracy)
+    stacked = work.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.lit(j).alias("idx"),
+                 F.coalesce(F.col(c), F.lit(med[j])).alias("x"))
+        for j, c in enumerate(cols)])).alias("s")).select("s.*")
+    st = stacked.groupBy("feature", "idx").agg(
+        F.avg("x").alias("m"), F.var_pop("x").alias("v"), F.count("x").alias("n"))
+    const = F.col("v") <= F.col("n") * F.lit(M.EPS) * F.col("v") \
+        + F.pow(F.col("n") * F.col("m") * F.lit(M.EPS), 2)
+    sig = lambda c: F.format_string("%.6e", c).cast("double")
+    return st.select("feature", "idx", sig(F.col("m")).alias("mean"),
+                     sig(F.when(const, F.lit(1.0)).otherwise(F.sqrt("v"))).alias("scale"))
+
+
+def class_weights(spark, sf_dir):
+    work, _ = _model_input(spark, sf_dir)
+    counts = work.groupBy(M.label_column(S.target_col).alias("label")).count()
+    total = F.sum("count").over(Window.partitionBy())  # two rows: one per class
+    return counts.select("label", F.col("count").alias("n"),
+                         (total.cast("double") / (F.lit(2.0) * F.col("count"))).alias("weight"))
+
+
+def churn_scores(spark, sf_dir):
+    scored, _ = churn.scored_rows(_snapshot(spark, sf_dir), S, RUN_DATE)
+    return scored.select("customer_id", "as_of_date", "predicted_churn_90d",
+                         "predicted_churn_probability_90d", "predicted_churn_probability_90d_pct")
+
+
+def churn_explanations(spark, sf_dir):
+    return churn.predictions(_snapshot(spark, sf_dir), S, RUN_DATE, TODAY).select(
+        "customer_id", "predicted_churn_90d", "predicted_churn_reason_90d",
+        "actual_churned_90d", "actual_churn_reason_90d")
+
+
+def prediction_report(spark, sf_dir):
+    return churn.prediction_report(_snapshot(spark, sf_dir), S, RUN_DATE, TODAY, CREATED_ON)
+
+
+def prediction_table(spark, sf_dir):
+    return report.to_table(prediction_report(spark, sf_dir))
+
+
+SCORING_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "features_top_n": features_top_n,
+    "as_of_snapshot": as_of_snapshot,
+    "latest_snapshot_per_customer": latest_snapshot_per_customer,
+    "business_rule_today": business_rule_today,
+    "feature_medians": feature_medians,
+    "feature_scaling": feature_scaling,
+    "class_weights": class_weights,
+    "churn_scores": churn_scores,
+    "churn_explanations": churn_explanations,
+    "prediction_report": prediction_report,
+    "prediction_table": prediction_table,
+}
+
+ALL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **SNAPSHOT_QUERIES, **SCORING_QUERIES}
