@@ -156,6 +156,8 @@ def fit(df: DataFrame, params: ScoreParams = ScoreParams()) -> FittedModel:
                          "a model cannot be fitted without labels")
     work = coerce_features(df, cols).withColumn("_y", label_column(params.target_col))
     medians, counts = exact_medians(work, cols, params.median_accuracy)
+    if max(counts) == 0 and work.limit(1).count() == 0:
+        raise ValueError("no rows selected for the model (check the as-of date)")
     empty = [c for c, n in zip(cols, counts) if n == 0]
     if empty:
         raise ValueError(f"feature columns with no values at all: {empty}")
