@@ -53,10 +53,10 @@ _EVENT_FIELDS: list[tuple[str, str]] = [
     ("day", "int"),
     ("probe", "int"),
     ("inv_n", "int"),
-    ("inv_amt", _DEC),
+    ("inv_amt", "bigint"),     # cents
     ("inv_pos", "int"),
     ("inv_neg", "int"),
-    ("ord_rev", _DEC),
+    ("ord_rev", "bigint"),     # cents
     ("ord_maint", "int"),
     ("ord_tech", "int"),
     ("ord_terms", "bigint"),
@@ -69,6 +69,17 @@ def day_number(c: Column) -> Column:
     return F.unix_date(c)
 
 
+def to_cents(amount: Column) -> Column:
+    """decimal(18,2) -> exact integer cents.  Window sums over longs stay in
+    fixed-width codegen; decimals above 18 digits would be BigDecimal objects
+    (ANSI mode raises on overflow, it never wraps)."""
+    return (amount * 100).cast("bigint")
+
+
+def from_cents(cents: Column) -> Column:
+    return (cents.cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
+
+
 def _event(**values: Column) -> Column:
     unknown = set(values) - {n for n, _ in _EVENT_FIELDS}
     if unknown:
@@ -105,7 +116,7 @@ def invoice_events(inv_signed: DataFrame) -> DataFrame:
     amt = F.col("amt_local_signed")
     d = F.col("tx_date")
     return _explode_events(inv_signed, [
-        _event(day=day_number(d), inv_n=F.lit(1), inv_amt=amt,
+        _event(day=day_number(d), inv_n=F.lit(1), inv_amt=to_cents(amt),
                inv_pos=F.when(amt > 0, 1).otherwise(0),
                inv_neg=F.when(amt < 0, 1).otherwise(0)),
         _event(day=day_number(F.trunc(d, "MM")), probe=F.lit(1)),
@@ -115,7 +126,7 @@ def invoice_events(inv_signed: DataFrame) -> DataFrame:
 def order_events(orders_typed: DataFrame) -> DataFrame:
     d = F.col("order_date")
     return _explode_events(orders_typed, [
-        _event(day=day_number(d), ord_rev=F.col("planned_revenue"),
+        _event(day=day_number(d), ord_rev=to_cents(F.col("planned_revenue")),
                ord_maint=F.col("is_maint"), ord_tech=F.col("is_tech"),
                ord_terms=pack_terms(day_number(d), F.lower(F.col("pay_terms")))),
         _event(day=day_number(F.trunc(d, "MM")), probe=F.lit(1)),
@@ -207,7 +218,9 @@ def timeline_features(daily: DataFrame, params: CadenceParams = CadenceParams())
 
     look = wm.rangeBetween(-params.lookback_months, -1)
     gap = F.col("gap")
-    return day_level.select(
+    # month frames read invoice days and probes only: drop the other events
+    # before the second sort
+    return day_level.filter((F.col("probe") == 1) | is_inv).select(
         "*",
         F.count(gap).over(look).alias("gap_n"),
         F.sum(gap.cast("bigint")).over(look).alias("gap_sum"),
@@ -230,6 +243,7 @@ def timeline_features(daily: DataFrame, params: CadenceParams = CadenceParams())
 def probe_features(timeline: DataFrame) -> DataFrame:
     """The spine rows (customer_id, t0) with their raw timeline features."""
     dec = lambda c: c.cast(_DEC)
+    cents = lambda name: from_cents(F.col(name))
     return (
         timeline.filter(F.col("probe") == 1)
         .select(
@@ -237,25 +251,25 @@ def probe_features(timeline: DataFrame) -> DataFrame:
             F.date_from_unix_date("day").alias("t0"),
             F.date_from_unix_date("prev_inv_day").alias("last_tx_date"),
             (F.col("day") - F.col("prev_inv_day")).alias("recency_days"),
-            dec(F.coalesce(F.col("w_rev_180"), F.lit(0))).alias("rev_180d"),
-            dec(F.coalesce(F.abs(F.col("w_neg_90")), F.lit(0))).alias("rev_returns_90d"),
+            dec(F.coalesce(cents("w_rev_180"), F.lit(0))).alias("rev_180d"),
+            dec(F.coalesce(F.abs(cents("w_neg_90")), F.lit(0))).alias("rev_returns_90d"),
             F.coalesce(F.col("w_pos_90"), F.lit(0)).cast("bigint").alias("invoices_90d"),
             F.coalesce(F.col("w_cn_90"), F.lit(0)).cast("bigint").alias("credit_notes_90d"),
-            F.col("w_ord_30").alias("orders_net_30d"),
+            cents("w_ord_30").alias("orders_net_30d"),
             F.coalesce(F.col("w_bo_30"), F.lit(0.0)).alias("backorder_qty_30d"),
             F.coalesce(F.col("w_maint_180"), F.lit(0)).cast("int").alias("maint_orders_180d"),
             F.coalesce(F.col("w_tech_180"), F.lit(0)).cast("int").alias("tech_orders_180d"),
             F.date_from_unix_date(F.shiftright("last_order", 3).cast("int")).alias("last_order_date"),
             unpack_terms_cycle(F.col("last_order")).alias("terms_cycle_days"),
             F.coalesce(F.col("w_contract"), F.lit(0)).cast("int").alias("in_renewal_grace"),
-            dec(F.coalesce(F.col("w_fwd_90"), F.lit(0))).alias("forward_rev_90d"),
+            dec(F.coalesce(cents("w_fwd_90"), F.lit(0))).alias("forward_rev_90d"),
             "gap_n", "gap_sum", "gap_sum2", "gap_p50", "gap_p90",
-            F.col("m_rev_3").alias("rev_trailing_3m"),
-            F.col("m_rev_prev_3").alias("rev_trailing_prev_3m"),
-            F.col("m_rev_6").alias("rev_trailing_6m"),
-            F.col("m_rev_prev_6").alias("rev_trailing_prev_6m"),
-            F.col("m_rev_ly").alias("rev_same_month_ly"),
-            F.col("m_rev_prev_month").alias("rev_prev_month"),
+            cents("m_rev_3").alias("rev_trailing_3m"),
+            cents("m_rev_prev_3").alias("rev_trailing_prev_3m"),
+            cents("m_rev_6").alias("rev_trailing_6m"),
+            cents("m_rev_prev_6").alias("rev_trailing_prev_6m"),
+            cents("m_rev_ly").alias("rev_same_month_ly"),
+            cents("m_rev_prev_month").alias("rev_prev_month"),
             F.col("m_cn_prev_month").cast("int").alias("credit_notes_prev_month"),
             F.col("m_ip_prev_month").cast("int").alias("invoices_pos_prev_month"),
             # mean over the months present in the window (no zero fill)

@@ -49,6 +49,7 @@ class FittedModel:
     class_counts: dict[int, int] = field(default_factory=dict)
     weights: dict[int, float] = field(default_factory=dict)
     n: int = 0
+    iterations: int = 0
 
     def z(self, j: int, value: Column) -> Column:
         return (F.coalesce(value.cast("double"), F.lit(self.medians[j])) - F.lit(self.means[j])) \
@@ -79,67 +80,87 @@ def label_column(target_col: str) -> Column:
     return F.coalesce(F.col(target_col).cast("string").try_cast("double"), F.lit(0.0)).cast("int")
 
 
-def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 100000,
+def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000,
                   max_rounds: int = 6) -> tuple[list[float | None], list[int]]:
-    """Exact median of each column (NULLs ignored) and the non-null counts."""
+    """Exact median of each column (NULLs ignored) and the non-null counts.
+
+    Pass 1 (one job): non-null counts and a ``percentile_approx`` bracket
+    around the middle ranks.  Pass 2 (one job): per column, the count below
+    the bracket with its largest value, each distinct value inside it with
+    its count, and the smallest value above it.  The middle ranks are then
+    read off on the driver from at most ~4n/accuracy + 2 values per column.
+    A bracket that misses the middle (possible only when the sketch is off
+    by more than one rank) is widened and pass 2 repeated.
+    """
     eps = 1.0 / accuracy
-    first = df.agg(*[F.count(c).alias(f"n{j}") for j, c in enumerate(cols)]).first()
+    margin = [2 * eps] * len(cols)
+
+    def bracket_aggs(js):
+        return [F.percentile_approx(F.col(cols[j]).cast("double"),
+                                    [max(0.0, 0.5 - margin[j]), min(1.0, 0.5 + margin[j])],
+                                    accuracy).alias(f"b{j}") for j in js]
+
+    first = df.agg(*[F.count(c).alias(f"n{j}") for j, c in enumerate(cols)],
+                   *bracket_aggs(range(len(cols)))).first()
     counts = [int(first[f"n{j}"]) for j in range(len(cols))]
     medians: list[float | None] = [None] * len(cols)
     todo = [j for j in range(len(cols)) if counts[j] > 0]
-    margin = [2 * eps + 2.0 / max(counts[j], 1) for j in range(len(cols))]
-    for _ in range(max_rounds):
+    brk = first
+    for round_no in range(max_rounds):
         if not todo:
             break
-        # bracket the middle ranks with the sketch
-        brk = df.agg(*[
-            F.percentile_approx(F.col(cols[j]).cast("double"),
-                                [max(0.0, 0.5 - margin[j]), min(1.0, 0.5 + margin[j])],
-                                accuracy).alias(f"b{j}") for j in todo]).first()
+        if round_no > 0:
+            brk = df.agg(*bracket_aggs(todo)).first()
         lo = {j: brk[f"b{j}"][0] for j in todo}
         hi = {j: brk[f"b{j}"][1] for j in todo}
-        # count below the bracket, and each distinct value inside it
         cells = []
         for j in todo:
             x = F.col(cols[j]).cast("double")
+            cat = F.when(x < F.lit(lo[j]), 0).when(x > F.lit(hi[j]), 2).otherwise(1)
             cells.append(F.when(x.isNotNull(), F.struct(
-                F.lit(j).alias("j"),
-                (x < F.lit(lo[j])).alias("below"),
-                F.when(x >= F.lit(lo[j]), x).alias("v"))))
-        # keep rows below (for the count) and rows within [lo, hi]
-        hi_map = F.create_map(*[x for j in todo for x in (F.lit(j), F.lit(hi[j]))])
-        inside = (df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-                  .filter(F.col("j").isNotNull()
-                          & (F.col("below") | (F.col("v") <= hi_map[F.col("j")])))
-                  .groupBy("j", "below", F.when(~F.col("below"), F.col("v")).alias("v"))
-                  .count())
-        by_col: dict[int, tuple[int, list[tuple[float, int]]]] = {j: (0, []) for j in todo}
-        for r in inside.collect():
-            below, vals = by_col[r["j"]]
-            if r["below"]:
-                by_col[r["j"]] = (below + int(r["count"]), vals)
+                F.lit(j).alias("j"), cat.alias("cat"), x.alias("x"))))
+        groups = (df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+                  .filter(F.col("j").isNotNull())
+                  .groupBy("j", "cat", F.when(F.col("cat") == 1, F.col("x")).alias("v"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("mx"), F.min("x").alias("mn"))
+                  .collect())
+        below = {j: (0, None) for j in todo}
+        above = {j: None for j in todo}
+        inside = {j: [] for j in todo}
+        for r in groups:
+            if r["cat"] == 0:
+                below[r["j"]] = (int(r["n"]), float(r["mx"]))
+            elif r["cat"] == 2:
+                above[r["j"]] = float(r["mn"])
             else:
-                vals.append((float(r["v"]), int(r["count"])))
+                inside[r["j"]].append((float(r["v"]), int(r["n"])))
         still = []
         for j in todo:
-            below, vals = by_col[j]
-            vals.sort()
+            n_below, pred = below[j]
+            ranked = ([(pred, n_below - 1)] if n_below else [])  # (value, first rank)
+            rank = n_below
+            for v, c in sorted(inside[j]):
+                ranked.append((v, rank))
+                rank += c
+            last = rank - 1
+            if above[j] is not None:
+                ranked.append((above[j], rank))
+                last = rank
+            first_rank = ranked[0][1] if ranked else 0
             n = counts[j]
             k1, k2 = (n - 1) // 2, n // 2
-            covered = sum(c for _, c in vals)
-            if not (below <= k1 and k2 < below + covered):
+            if not ranked or k1 < first_rank or k2 > last:
                 still.append(j)
-                margin[j] = min(0.5, margin[j] * 4)
+                margin[j] = min(0.5, margin[j] * 4 + 2.0 / n)
                 continue
-            a = b = None
-            rank = below
-            for v, c in vals:
-                if a is None and k1 < rank + c:
-                    a = v
-                if k2 < rank + c:
-                    b = v
-                    break
-                rank += c
+
+            def at(k):
+                val = None
+                for v, r0 in ranked:
+                    if r0 <= k:
+                        val = v
+                return val
+            a, b = at(k1), at(k2)
             medians[j] = a if a == b else (a + b) / 2.0
         todo = still
     if todo:
@@ -185,22 +206,29 @@ def fit(df: DataFrame, params: ScoreParams = ScoreParams()) -> FittedModel:
     train = work.select(
         *z_cols, F.col("_y").cast("double").alias("_label"),
         F.when(F.col("_y") == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])).alias("_w"))
-    # LBFGS runs one distributed pass per iteration; size the partitions to
-    # the data (ceil(n / rows_per_partition)) so that small inputs do not pay
-    # per-task overhead hundreds of times and large ones still spread out.
+    # LBFGS makes one distributed pass per iteration; size the
+    # partitions to the data (ceil(n / rows_per_partition)) so that small
+    # inputs do not pay per-task overhead many times and large ones spread out.
     parts = max(1, math.ceil(n / params.rows_per_partition))
     if train.rdd.getNumPartitions() > parts:
         train = train.coalesce(parts)
-    assembled = VectorAssembler(inputCols=[f"_z{j}" for j in range(len(cols))],
+    coef, icpt, iters = _lbfgs_fit(train, len(cols), n, params)
+    model.coefficients, model.intercept, model.iterations = coef, icpt, iters
+    return model
+
+
+def _lbfgs_fit(train: DataFrame, k: int, n: int, params: ScoreParams):
+    """Spark ML LogisticRegression: objective / sum(weights) with
+    regParam = 1 / n, no extra standardisation (inputs are standardised)."""
+    assembled = VectorAssembler(inputCols=[f"_z{j}" for j in range(k)],
                                 outputCol="_features").transform(train)
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", weightCol="_w",
                             regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
                             fitIntercept=True, maxIter=params.max_iter, tol=params.tol,
                             family="binomial")
     fitted = lr.fit(assembled)
-    model.coefficients = [float(x) for x in fitted.coefficients.toArray()]
-    model.intercept = float(fitted.intercept)
-    return model
+    return ([float(x) for x in fitted.coefficients.toArray()], float(fitted.intercept),
+            int(fitted.summary.totalIterations))
 
 
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
