@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
                   app: str = "tidemark") -> SparkSession:
-    parts = shuffle_partitions or int(cpus) if str(cpus).isdigit() else 8
+    parts = shuffle_partitions or (int(cpus) if str(cpus).isdigit() else 8)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)

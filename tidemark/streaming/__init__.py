@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The batch job this engine re-implements has no streaming part (no streaming
+sources, event-time windows, watermarks or stateful operators), so there is
+nothing to express with Structured Streaming here.  See README.md.
+"""
