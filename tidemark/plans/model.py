@@ -6,9 +6,9 @@ back into the plan as literals.
 
 * G4 median imputation needs the *exact* median (midpoint of the two middle
   values for even n).  A global exact ``percentile`` would merge every
-  distinct value into one task, so it is found in two bounded passes:
-  ``percentile_approx`` brackets the middle ranks, then only the values
-  inside the bracket are counted (at most a few per 1/accuracy of the rows).
+  distinct value into one task, so it is found by distributed selection: a
+  ``percentile_approx`` bracket, then bucket-refinement passes that each
+  return a fixed-size histogram (see :func:`exact_medians`).
 * G5 standardises with the population std (zero variance -> scale 1).
 * G6 is Spark ML's LogisticRegression with instance weights n/(2 n_class)
   and ``regParam = 1/n``: the same optimum as C=1 with balanced class
@@ -31,6 +31,7 @@ from tidemark.session import ensure_checkpoint_dir
 
 
 EPS = 2.220446049250313e-16  # double machine epsilon
+LAST_MEDIAN_PASSES = 0       # passes used by the last exact_medians call (diagnostics)
 
 
 def is_constant(var: float, mean: float, n: int) -> bool:
@@ -80,91 +81,113 @@ def label_column(target_col: str) -> Column:
     return F.coalesce(F.col(target_col).cast("string").try_cast("double"), F.lit(0.0)).cast("int")
 
 
+def _dbl(v: float) -> str:
+    """A double as exact SQL text (repr round-trips)."""
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
 def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000,
-                  max_rounds: int = 6) -> tuple[list[float | None], list[int]]:
-    """Exact median of each column (NULLs ignored) and the non-null counts.
+                  buckets: int = 1024, max_passes: int = 64
+                  ) -> tuple[list[float | None], list[int]]:
+    """Exact median of each column (NULLs ignored; midpoint of the two middle
+    values for an even count) and the non-null counts -- by distributed
+    selection, never by gathering a column in one task or on the driver.
 
     Pass 1 (one job): non-null counts and a ``percentile_approx`` bracket
-    around the middle ranks.  Pass 2 (one job): per column, the count below
-    the bracket with its largest value, each distinct value inside it with
-    its count, and the smallest value above it.  The middle ranks are then
-    read off on the driver from at most ~4n/accuracy + 2 values per column.
-    A bracket that misses the middle (possible only when the sketch is off
-    by more than one rank) is widened and pass 2 repeated.
+    around the middle.  Then, per middle rank k (one or two per column), a
+    refinement pass (one job for all columns) splits the current bracket
+    [lo, hi] into ``buckets`` equal-width buckets and returns count/min/max
+    per bucket plus the count below ``lo``: at most ``buckets + 2`` rows per
+    target, whatever the row count.  The bucket holding rank k becomes the
+    next bracket; once it holds a single value, that is the answer.  Bucket
+    index is monotone in the value, so every pass keeps exact rank counts,
+    and a bracket with two or more distinct values always splits (its min
+    and max land in the first and last bucket).  A sketch bracket that
+    misses rank k is replaced by the full value range.
     """
     eps = 1.0 / accuracy
-    margin = [2 * eps] * len(cols)
-
-    def bracket_aggs(js):
-        return [F.percentile_approx(F.col(cols[j]).cast("double"),
-                                    [max(0.0, 0.5 - margin[j]), min(1.0, 0.5 + margin[j])],
-                                    accuracy).alias(f"b{j}") for j in js]
-
-    first = df.agg(*[F.count(c).alias(f"n{j}") for j, c in enumerate(cols)],
-                   *bracket_aggs(range(len(cols)))).first()
+    margin = 3 * eps + 0.002   # a few ranks either side of the middle
+    first = df.agg(
+        *[F.count(c).alias(f"n{j}") for j, c in enumerate(cols)],
+        *[F.percentile_approx(F.col(c).cast("double"), [0.5 - margin, 0.5 + margin],
+                              accuracy).alias(f"b{j}") for j, c in enumerate(cols)],
+        *[F.min(F.col(c).cast("double")).alias(f"lo{j}") for j, c in enumerate(cols)],
+        *[F.max(F.col(c).cast("double")).alias(f"hi{j}") for j, c in enumerate(cols)],
+    ).first()
     counts = [int(first[f"n{j}"]) for j in range(len(cols))]
-    medians: list[float | None] = [None] * len(cols)
-    todo = [j for j in range(len(cols)) if counts[j] > 0]
-    brk = first
-    for round_no in range(max_rounds):
-        if not todo:
+    # targets: (column, rank) -> [lo, hi, answer]
+    state: dict[tuple[int, int], list] = {}
+    for j in range(len(cols)):
+        n = counts[j]
+        if n == 0:
+            continue
+        for k in sorted({(n - 1) // 2, n // 2}):
+            b = first[f"b{j}"]
+            # [lo, hi, answer, full range, rows in [lo, hi] (None: unknown)]
+            state[(j, k)] = [float(b[0]), float(b[1]), None,
+                             (float(first[f"lo{j}"]), float(first[f"hi{j}"])), None]
+    global LAST_MEDIAN_PASSES
+    LAST_MEDIAN_PASSES = 1
+    for _ in range(max_passes):
+        active = [t for t, v in state.items() if v[2] is None]
+        if not active:
             break
-        if round_no > 0:
-            brk = df.agg(*bracket_aggs(todo)).first()
-        lo = {j: brk[f"b{j}"][0] for j in todo}
-        hi = {j: brk[f"b{j}"][1] for j in todo}
+        LAST_MEDIAN_PASSES += 1
+        # one SQL expression for all targets (parsed once on the JVM)
         cells = []
-        for j in todo:
-            x = F.col(cols[j]).cast("double")
-            cat = F.when(x < F.lit(lo[j]), 0).when(x > F.lit(hi[j]), 2).otherwise(1)
-            cells.append(F.when(x.isNotNull(), F.struct(
-                F.lit(j).alias("j"), cat.alias("cat"), x.alias("x"))))
-        groups = (df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-                  .filter(F.col("j").isNotNull())
-                  .groupBy("j", "cat", F.when(F.col("cat") == 1, F.col("x")).alias("v"))
-                  .agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("mx"), F.min("x").alias("mn"))
-                  .collect())
-        below = {j: (0, None) for j in todo}
-        above = {j: None for j in todo}
-        inside = {j: [] for j in todo}
-        for r in groups:
-            if r["cat"] == 0:
-                below[r["j"]] = (int(r["n"]), float(r["mx"]))
-            elif r["cat"] == 2:
-                above[r["j"]] = float(r["mn"])
+        for i, (j, k) in enumerate(active):
+            lo, hi = state[(j, k)][0], state[(j, k)][1]
+            x = f"CAST(`{cols[j]}` AS DOUBLE)"
+            exact = state[(j, k)][4] is not None and state[(j, k)][4] <= buckets
+            if hi > lo and not exact:
+                bucket = (f"LEAST(GREATEST(FLOOR(({x} - {_dbl(lo)}) / {_dbl(hi - lo)} * {buckets}), 0), "
+                          f"{buckets - 1})")
+            else:
+                bucket = "0"
+            key = x if exact else "CAST(NULL AS DOUBLE)"
+            cells.append(
+                f"CASE WHEN {x} IS NULL THEN NULL ELSE named_struct("
+                f"'t', {i}, "
+                f"'b', CAST(CASE WHEN {x} < {_dbl(lo)} THEN -1 WHEN {x} > {_dbl(hi)} THEN {buckets} "
+                f"ELSE {bucket} END AS INT), "
+                f"'v', CASE WHEN {x} >= {_dbl(lo)} AND {x} <= {_dbl(hi)} THEN {key} END, "
+                f"'x', {x}) END")
+        rows = (df.selectExpr(f"explode(array({', '.join(cells)})) AS c").select("c.*")
+                .filter(F.col("t").isNotNull())
+                .groupBy("t", "b", "v")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+                .collect())
+        per: dict[int, list] = {i: [] for i in range(len(active))}
+        for r in rows:
+            per[r["t"]].append((int(r["b"]), float(r["mn"]), int(r["n"]), float(r["mx"])))
+        for i, (j, k) in enumerate(active):
+            groups = sorted(per[i])        # by bucket, then value
+            below = sum(n for b, _, n, _ in groups if b < 0)
+            inside = [(b, mn, n, mx) for b, mn, n, mx in groups if 0 <= b < buckets]
+            rank = below
+            found = None
+            for b, mn, n, mx in inside:
+                if k < rank + n:
+                    found = (mn, mx, n)
+                    break
+                rank += n
+            st = state[(j, k)]
+            if found is None:             # sketch bracket missed: use the full range
+                st[0], st[1] = st[3]
+                st[4] = None
+            elif found[0] == found[1]:
+                st[2] = found[0]
             else:
-                inside[r["j"]].append((float(r["v"]), int(r["n"])))
-        still = []
-        for j in todo:
-            n_below, pred = below[j]
-            ranked = ([(pred, n_below - 1)] if n_below else [])  # (value, first rank)
-            rank = n_below
-            for v, c in sorted(inside[j]):
-                ranked.append((v, rank))
-                rank += c
-            last = rank - 1
-            if above[j] is not None:
-                ranked.append((above[j], rank))
-                last = rank
-            first_rank = ranked[0][1] if ranked else 0
-            n = counts[j]
-            k1, k2 = (n - 1) // 2, n // 2
-            if not ranked or k1 < first_rank or k2 > last:
-                still.append(j)
-                margin[j] = min(0.5, margin[j] * 4 + 2.0 / n)
-                continue
-
-            def at(k):
-                val = None
-                for v, r0 in ranked:
-                    if r0 <= k:
-                        val = v
-                return val
-            a, b = at(k1), at(k2)
-            medians[j] = a if a == b else (a + b) / 2.0
-        todo = still
-    if todo:
-        raise RuntimeError(f"median bracket did not converge for {[cols[j] for j in todo]}")
+                st[0], st[1], st[4] = found
+    if any(v[2] is None for v in state.values()):
+        raise RuntimeError("exact median selection did not converge")
+    medians: list[float | None] = [None] * len(cols)
+    for j in range(len(cols)):
+        n = counts[j]
+        if n == 0:
+            continue
+        a, b = state[(j, (n - 1) // 2)][2], state[(j, n // 2)][2]
+        medians[j] = a if a == b else (a + b) / 2.0
     return medians, counts
 
 
