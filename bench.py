@@ -14,7 +14,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -25,7 +24,7 @@ from tidemark.params import ScoreParams  # noqa: E402
 from tidemark.plans import churn  # noqa: E402
 from tidemark.plans.select import model_rows  # noqa: E402
 from tidemark import queries as Q  # noqa: E402
-from tidemark.session import local_session  # noqa: E402
+from tidemark.session import ensure_checkpoint_dir, local_session  # noqa: E402
 
 
 def _run(df) -> None:
@@ -52,8 +51,8 @@ def main() -> None:
         timed(name, lambda n=name: _run(Q.ALL_QUERIES[n](spark, sf_dir)))
 
     # full refresh of the snapshot table, then the scoring stage reads it
-    out = tempfile.mkdtemp(prefix="tidemark-bench-")
-    path = os.path.join(out, "snapshot")
+    # written into the session's reliable (shared) checkpoint folder
+    path = ensure_checkpoint_dir(spark).rstrip("/") + "/bench-snapshot"
     timed("snapshot_write", lambda: snap.write_snapshot(snap.build_snapshot(spark, sf_dir), path))
     stored = snap.read_snapshot(spark, path)
     timed("latest_snapshot_per_customer", lambda: _run(model_rows(stored)))

@@ -22,6 +22,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemark-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
