@@ -40,6 +40,8 @@ def test_latest_row_reuses_the_customer_partitioning(spark):
     # partitioning: still two shuffles in total
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
     assert "max(" in plan
+    # ... and its sort-based aggregate reuses the window order: no third sort
+    assert len(re.findall(r"\bSort \[", plan)) == 2
 
 
 def test_schema_is_inferred_once(spark):
