@@ -66,7 +66,9 @@ def fixture_dir(request, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", ["cadence_snapshot", "purchase_gaps", "month_trends",
-                                  "latest_terms_asof", "renewal_grace"])
+                                  "latest_terms_asof", "renewal_grace", "reason_codes",
+                                  "latest_snapshot_per_customer", "feature_medians",
+                                  "business_rule_today"])
 def test_random_fixture_matches_oracle(spark, fixture_dir, name):
     d, con = fixture_dir
     r = compare(ALL_QUERIES[name](spark, d), con, ALL_SQL[name])
