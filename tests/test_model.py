@@ -121,3 +121,21 @@ def test_report_headers_and_types(spark):
     tech = churn.prediction_report(s, ScoreParams(headers="technical"), today=dt.date(2001, 10, 1))
     assert tech.columns[:3] == ["CustomerId", "AsOfDateT0", "BusinessChurnNow"]
     assert tech.columns[-2:] == ["DaysSinceLastPurchaseToday", "Createdon"]
+
+
+def test_fit_matches_newton_solve_sf001(spark):
+    """The same parity on sf0.01 (1,500 customers)."""
+    rows = M.materialize(model_rows(snap.build_snapshot(spark, "/root/testdata/sf0.01")))
+    pdf = rows.toPandas()
+    X = pdf[FEATURE_COLUMNS].astype(float).to_numpy()
+    y = pdf["churned_hard90"].astype(int).to_numpy()
+    med = np.nanmedian(X, axis=0)
+    Xi = np.where(np.isnan(X), med, X)
+    mu, sd = Xi.mean(0), Xi.std(0)
+    sd[sd == 0] = 1.0
+    m = M.fit(rows, ScoreParams())
+    assert np.allclose(m.medians, med, rtol=0, atol=1e-12)
+    assert np.allclose(m.means, mu, rtol=1e-9)
+    assert np.allclose(m.scales, sd, rtol=1e-9)
+    beta = _newton((Xi - mu) / sd, y)
+    assert np.abs(np.array(m.coefficients + [m.intercept]) - beta).max() < 1e-3
