@@ -53,3 +53,22 @@ def test_reasons_equal_brute_force(spark):
     # both classes and both reason kinds occur
     assert {r.predicted_churn_90d for r in rows} == {0, 1}
     assert any(r.actual_churned_90d == 1 for r in rows)
+
+
+def test_scores_equal_numpy(spark):
+    """Probabilities, classes and percentages from the fitted constants,
+    recomputed row by row in numpy."""
+    import numpy as np
+    params = ScoreParams()
+    scored, model = churn.scored_rows(snap.build_snapshot(spark, SF), params, "2001-12-01")
+    cols = model.feature_cols
+    pdf = scored.select(*cols, "predicted_churn_probability_90d", "predicted_churn_90d",
+                        "predicted_churn_probability_90d_pct").toPandas()
+    X = pdf[cols].astype(float).to_numpy()
+    Z = (np.where(np.isnan(X), np.array(model.medians), X) - np.array(model.means)) \
+        / np.array(model.scales)
+    p = 1.0 / (1.0 + np.exp(-(model.intercept + Z @ np.array(model.coefficients))))
+    got = pdf["predicted_churn_probability_90d"].to_numpy()
+    assert np.abs(got - p).max() < 1e-12
+    assert (pdf["predicted_churn_90d"].to_numpy() == (got >= params.decision_cut)).all()
+    assert np.abs(pdf["predicted_churn_probability_90d_pct"].to_numpy() - got * 100).max() <= 0.005 + 1e-9
