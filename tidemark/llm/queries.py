@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.bpe import op7_byte_bpe
 from tidemark.llm.chat_format import op6_chat_format
 from tidemark.llm.quality_rules import op10_quality_rules
+from tidemark.llm.suffix_dedup import op2_suffix_dedup
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_byte_bpe": op7_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
