@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.bpe import op7_byte_bpe
 from tidemark.llm.chat_format import op6_chat_format
+from tidemark.llm.decontaminate import op9_decontaminate
 from tidemark.llm.quality_rules import op10_quality_rules
 from tidemark.llm.suffix_dedup import op2_suffix_dedup
 
@@ -11,5 +12,6 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_decontaminate": op9_decontaminate,
     "op10_quality_rules": op10_quality_rules,
 }
