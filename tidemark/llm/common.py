@@ -37,3 +37,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; every other code point stays."""
     return F.translate(text, A_Z, a_z)
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it
+    (a cluster that has it installed finds its own copy all the same)."""
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in [*paths, root] if p)

@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from tidemark.llm.bpe import op7_byte_bpe
 from tidemark.llm.chat_format import op6_chat_format
+from tidemark.llm.common import on_workers
 from tidemark.llm.decontaminate import op9_decontaminate
 from tidemark.llm.quality_rules import op10_quality_rules
+from tidemark.llm.shard import op5_shard
 from tidemark.llm.suffix_dedup import op2_suffix_dedup
+from tidemark.llm.token_counts import op8_token_counts
+
+
+def _query(run):
+    @wraps(run)
+    def ready(spark, sf_dir):
+        on_workers(spark)
+        return run(spark, sf_dir)
+    return ready
+
 
-QUERIES = {
+QUERIES = {name: _query(run) for name, run in {
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_shard": op5_shard,
     "op6_chat_format": op6_chat_format,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_rules": op10_quality_rules,
-}
+}.items()}

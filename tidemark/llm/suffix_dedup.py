@@ -16,15 +16,16 @@ trigger bytes.  Phrases are therefore grouped by trigger: equal phrases stand
 for equal runs of suffixes, so all but the first in corpus order are duplicate
 as a whole (copied text costs one dictionary entry however often it occurs);
 where one trigger has several distinct phrases, the suffixes of these
-dictionary entries are ordered by their first LENGTH bytes (by hash rank: only
+dictionary entries are sorted (by the hash of their first LENGTH bytes: only
 equality at that depth matters) and all but the first in corpus order are
 duplicate.  Nothing is compared pairwise.
 
 Skew.  A common phrase is combined in the map task: later copies inside one
-batch are marked at once and need no key.  A trigger with more than
-``HOT`` distinct phrases in a batch is salted by its phrases and announced by
-one beacon row; such phrases go to the suffix step directly, which is exact.
-The same holds for common suffixes.
+batch leave as merged runs and need no key.  A trigger with more than ``HOT``
+distinct phrases in a batch is salted by its phrases and announced by one
+beacon row.  Triggers with at most ``CLOSE`` phrases have their dictionary
+entries sorted in one task; for the others every suffix is a row of its own,
+keyed by its hash, again combined in the map task.  Both ways are exact.
 
 Defined results: null text is empty; texts shorter than LENGTH keep all
 bytes; rows are identified by (doc_id, CRC of the text), so repeated equal
@@ -48,8 +49,9 @@ GRAM = 24
 SPAN = LENGTH - GRAM + 1        # hash positions inside one string
 PIECE = 1 << 21                 # bytes hashed at once
 HOT = 32                        # distinct phrases of a trigger in one batch
+CLOSE = 512                     # phrases of a trigger that one task compares
 
-_PHRASES = ("a long, salt int, ph long, doc_id long, crc int, l int, n int, kind int")
+_PHRASES = "key long, ph long, doc_id long, place long, tag long"
 FIRST, DUP, SALTED, BEACON = 0, 1, 2, 3
 
 
@@ -142,11 +144,6 @@ def _order(batch: pa.RecordBatch) -> np.ndarray:
     return rank
 
 
-def _rows(batch, row):
-    """doc_id and crc of the given rows of a batch."""
-    return batch.column("doc_id").take(pa.array(row)), batch.column("crc").take(pa.array(row))
-
-
 def _later(same: np.ndarray, rank: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Sorted rows that equal the row before and lie elsewhere."""
     out = np.zeros(len(rank), bool)
@@ -154,9 +151,30 @@ def _later(same: np.ndarray, rank: np.ndarray, place: np.ndarray) -> np.ndarray:
     return out
 
 
+def _runs(row, start, n):
+    """Merge runs of starts of one row that touch; sorted by (row, start)."""
+    by = np.lexsort((start, row))
+    row, start, end = row[by], start[by], (start + n)[by]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(new)
+    return row[first], start[first], (np.maximum.reduceat(end, first) if len(first) else end) - start[first]
+
+
+def _place(batch, row, start):
+    """Columns doc_id and place (CRC and start, in one long that keeps their order)."""
+    crc = batch.column("crc").to_numpy().astype(np.int64)
+    return batch.column("doc_id").take(pa.array(row)), pa.array((crc[row] << 32) | start)
+
+
 def parse_phrases(batches):
-    """mapInArrow: documents (doc_id, crc, text) to phrase rows."""
-    names = ["a", "salt", "ph", "doc_id", "crc", "l", "n", "kind"]
+    """mapInArrow: documents (doc_id, crc, text) to phrase rows.
+
+    ``key`` is the trigger, xor-ed with the salt of hot ones; ``tag`` holds
+    starts << 16 | salt << 4 | kind.  Copies inside the batch leave as merged
+    runs that meet nothing else.
+    """
+    names = ["key", "ph", "doc_id", "place", "tag"]
     for batch in batches:
         body, offsets = flat(batch.column("text"))
         a, ph, row, l, n = _parse(body, offsets)
@@ -165,71 +183,79 @@ def parse_phrases(batches):
         rank = _order(batch)[row]
         by = np.lexsort((l, rank, ph, a))
         a, ph, row, l, n, rank = a[by], ph[by], row[by], l[by], n[by], rank[by]
-        new_a = np.ones(len(a), bool)
-        new_a[1:] = a[1:] != a[:-1]
-        first = ~_later((a[1:] == a[:-1]) & (ph[1:] == ph[:-1]), rank, l)
-        kind = np.where(first, FIRST, DUP)
-        group = np.cumsum(new_a) - 1
-        distinct = np.bincount(group, weights=first).astype(np.int64)
-        hot = first & (distinct[group] > HOT)
-        kind[hot] = SALTED
-        spread = (np.abs(ph) % 1021 + 1)
-        salt = np.where(hot, spread, np.where(first, 0, -1 - np.abs(ph ^ l) % 1021))
-        ids, crc = _rows(batch, row)
+        dup = _later((a[1:] == a[:-1]) & (ph[1:] == ph[:-1]), rank, l)
+        d_row, d_l, d_n = _runs(row[dup], l[dup], n[dup])
+        a, ph, row, l, n = a[~dup], ph[~dup], row[~dup], l[~dup], n[~dup]
+        new = np.ones(len(a), bool)
+        new[1:] = a[1:] != a[:-1]
+        group = np.cumsum(new) - 1
+        hot = np.bincount(group)[group] > HOT
+        salt = np.where(hot, 1 + (ph & 1023), 0)
+        told = a[new & hot]
+        ids, place = _place(batch, np.concatenate([row, d_row]), np.concatenate([l, d_l]))
+        d_key = mix((d_row * 8191 + d_l).astype(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays([
-            pa.array(a), pa.array(salt, pa.int32()), pa.array(ph), ids, crc,
-            pa.array(l, pa.int32()), pa.array(n, pa.int32()), pa.array(kind, pa.int32())], names)
-        told = a[new_a & hot]
+            pa.array(np.concatenate([a ^ (salt << 48), d_key])),
+            pa.array(np.concatenate([ph, np.zeros(len(d_l), np.int64)])), ids, place,
+            pa.array(np.concatenate([(n << 16) | (salt << 4) | np.where(hot, SALTED, FIRST),
+                                     (d_n << 16) | DUP]))], names)
         if len(told):
             k = len(told)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(told), pa.array(np.zeros(k), pa.int32()), pa.array(np.zeros(k, np.int64)),
-                pa.nulls(k, pa.int64()), pa.array(np.zeros(k), pa.int32()), pa.array(np.zeros(k), pa.int32()),
-                pa.array(np.zeros(k), pa.int32()), pa.array(np.full(k, BEACON), pa.int32())], names)
+            zero = pa.array(np.zeros(k, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(told), zero, pa.nulls(k, pa.int64()), zero, pa.array(np.full(k, BEACON))], names)
 
 
-def _elsewhere(order, place: str):
+def _elsewhere(order):
     """Equal to the row before in ``order``, and not the same place of the corpus."""
-    here = F.struct("doc_id", "crc", place)
+    here = F.struct("doc_id", "place")
     return F.lag(here).over(order).isNotNull() & ~F.lag(here).over(order).eqNullSafe(here)
 
 
 def classify(phrases: DataFrame) -> DataFrame:
-    """Phrase rows that matter: ``whole`` duplicates, and first phrases whose
-    trigger has other phrases too, which need the suffix step."""
-    trigger = Window.partitionBy("a", "salt")
-    equal = Window.partitionBy("a", "salt", "ph").orderBy(
-        F.col("doc_id").asc_nulls_first(), "crc", "l")
+    """Phrase rows that matter: ``whole`` duplicates (trigger null), and first
+    phrases whose trigger has other phrases too, which need the suffix step
+    (``hot``: too many to be compared in one task)."""
+    trigger = Window.partitionBy("key")
+    equal = Window.partitionBy("key", "ph").orderBy(F.col("doc_id").asc_nulls_first(), "place")
+    kind, salt = F.col("tag").bitwiseAND(15), F.shiftright("tag", 4).bitwiseAND(4095)
+    hot = ((kind == SALTED) | (F.max((kind == BEACON).cast("int")).over(trigger) == 1)
+           | (F.count("*").over(trigger) > CLOSE))
     return (
-        phrases.withColumn("_many", (F.min("ph").over(trigger) != F.max("ph").over(trigger))
-                           | (F.max((F.col("kind") == BEACON).cast("int")).over(trigger) == 1)
-                           | (F.col("kind") == SALTED))
-        .filter(F.col("kind") != BEACON)
-        .withColumn("whole", (F.col("kind") == DUP) | _elsewhere(equal, "l"))
+        phrases.withColumn("hot", hot)
+        .withColumn("_many", F.col("hot") | (F.min("ph").over(trigger) != F.max("ph").over(trigger)))
+        .filter(kind != BEACON)
+        .withColumn("whole", (kind == DUP) | _elsewhere(equal))
         .filter(F.col("whole") | F.col("_many"))
-        .select("doc_id", "crc", "a", "l", "n", "whole"))
+        .select("doc_id", F.shiftright("place", 32).cast("int").alias("crc"),
+                F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("l"),
+                F.shiftright("tag", 16).cast("int").alias("n"),
+                F.when(~F.col("whole"), F.col("key").bitwiseXOR(F.shiftleft(salt, 48))).alias("a"), "hot"))
+
+
+def _opened(batch):
+    """(document, text, l, n, a) of the listed phrases of each document of a batch."""
+    body, offsets = flat(batch.column("text"))
+    lists = batch.column("phrases")
+    edge = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+    fields = lists.flatten()
+    l, n, a = (fields.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
+    for d in range(len(batch)):
+        mine = slice(edge[d], edge[d + 1])
+        yield d, body[offsets[d]:offsets[d + 1]], l[mine], n[mine], a[mine]
 
 
 def suffixes(batches):
-    """mapInArrow: (doc_id, crc, text, phrases[l, n, a]) to suffix rows."""
-    names = ["a", "g", "salt", "doc_id", "crc", "s", "dup"]
+    """mapInArrow: the suffixes of hot phrases, one row each."""
+    names = ["a", "g", "salt", "doc_id", "place", "dup"]
     for batch in batches:
-        body, offsets = flat(batch.column("text"))
-        lists = batch.column("phrases")
-        counts = np.diff(lists.offsets.to_numpy())
-        flat_lists = lists.flatten()
-        l, n, a = (flat_lists.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
-        edge = np.concatenate([[0], np.cumsum(counts)])
         got = []
-        for d in np.flatnonzero(counts):
-            mine = slice(edge[d], edge[d + 1])
-            ll, nn, aa = l[mine], n[mine], a[mine]
-            start = np.repeat(ll, nn) + np.arange(nn.sum()) - np.repeat(np.cumsum(nn) - nn, nn)
-            key = np.repeat(aa, nn)
-            text = body[offsets[d]:offsets[d + 1]]
-            # hash only the covered stretches, in pieces of bounded size
+        for d, text, l, n, a in _opened(batch):
+            start = np.repeat(l, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            key = np.repeat(a, n)
             by = np.argsort(start, kind="stable")
             start, key = start[by], key[by]
+            # hash the covered stretches in pieces of bounded size
             cut = np.flatnonzero(np.append(True, (start[1:] // PIECE) != (start[:-1] // PIECE)))
             for x, y in zip(cut, np.append(cut[1:], len(start))):
                 low = int(start[x])
@@ -244,15 +270,69 @@ def suffixes(batches):
         by = np.lexsort((s, rank, g, a))
         a, g, row, s, rank = a[by], g[by], row[by], s[by], rank[by]
         dup = _later((a[1:] == a[:-1]) & (g[1:] == g[:-1]), rank, s)
-        salt = np.where(dup, 1 + np.abs(g ^ s) % 1021, 0)
-        ids, crc = _rows(batch, row)
+        ids, place = _place(batch, row, s)
         yield pa.RecordBatch.from_arrays([
-            pa.array(a), pa.array(g), pa.array(salt, pa.int32()), ids, crc,
-            pa.array(s, pa.int32()), pa.array(dup)], names)
+            pa.array(a), pa.array(g), pa.array(np.where(dup, 1 + ((g ^ s) & 1023), 0), pa.int32()),
+            ids, place, pa.array(dup)], names)
+
+
+def contexts(batches):
+    """mapInArrow: the bytes of phrases that few others share a trigger with."""
+    names = ["a", "doc_id", "crc", "l", "bytes"]
+    for batch in batches:
+        rows = [(d, int(ll), int(aa), text[ll:ll + nn - 1 + LENGTH].tobytes())
+                for d, text, l, n, a in _opened(batch) for ll, nn, aa in zip(l, n, a)]
+        if rows:
+            d, l, a, text = zip(*rows)
+            at = pa.array(d)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), batch.column("doc_id").take(at), batch.column("crc").take(at),
+                 pa.array(l, pa.int32()), pa.array(text, pa.binary())], names)
+
+
+def _compare(table: pa.RecordBatch) -> pa.RecordBatch:
+    """Runs of suffixes of whole trigger groups that occur earlier."""
+    data = table.column("bytes").cast(pa.large_binary())
+    offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+    body = np.frombuffer(data.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    n = np.diff(offsets) - LENGTH + 1
+    row = np.repeat(np.arange(len(n)), n)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    at = offsets[row] + inside
+    g = range_hash(prefix_hash(body), at, at + LENGTH)
+    a = table.column("a").to_numpy()[row]
+    s = table.column("l").to_numpy().astype(np.int64)[row] + inside
+    rank = _order(table)[row]
+    by = np.lexsort((s, rank, g, a))
+    a, g, row, s, rank = a[by], g[by], row[by], s[by], rank[by]
+    dup = _later((a[1:] == a[:-1]) & (g[1:] == g[:-1]), rank, s)
+    row, start, count = _runs(row[dup], s[dup], np.ones(int(dup.sum()), np.int64))
+    ids, crc = table.column("doc_id").take(pa.array(row)), table.column("crc").take(pa.array(row))
+    return pa.RecordBatch.from_arrays(
+        [ids, crc, pa.array(start, pa.int32()), pa.array(count, pa.int32())], ["doc_id", "crc", "l", "n"])
+
+
+def compare(batches):
+    """mapInArrow over rows sorted by trigger; a group may span batches."""
+    held = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        a = batch.column("a").to_numpy()
+        last = int(np.searchsorted(a, a[-1], "left"))
+        if last:
+            yield _compare(batch.slice(0, last))
+        held = batch.slice(last)
+    if held is not None:
+        yield _compare(held)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("crc", (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int"))
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)
+    return docs.withColumn("crc", crc.cast("int"))
 
 
 def duplicate_ranges(docs: DataFrame) -> DataFrame:
@@ -261,16 +341,25 @@ def duplicate_ranges(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs).select("doc_id", "crc", "text")
     phrases = keyed.mapInArrow(parse_phrases, _PHRASES)
     marked = materialise(classify(phrases), "phrases")
-    open_ = (marked.filter(~F.col("whole")).groupBy("doc_id", "crc")
-             .agg(F.collect_list(F.struct("l", "n", "a")).alias("phrases"))
-             .withColumnsRenamed({"doc_id": "_id", "crc": "_crc"}))
-    on = keyed["doc_id"].eqNullSafe(open_["_id"]) & (keyed["crc"] == open_["_crc"])
-    rows = keyed.join(open_, on).select("doc_id", "crc", "text", "phrases").mapInArrow(
-        suffixes, "a long, g long, salt int, doc_id long, crc int, s int, dup boolean")
-    order = Window.partitionBy("a", "g", "salt").orderBy(F.col("doc_id").asc_nulls_first(), "crc", "s")
-    later = (rows.withColumn("dup", F.col("dup") | _elsewhere(order, "s")).filter("dup")
-             .select("doc_id", "crc", F.col("s").alias("l"), F.lit(1).alias("n")))
-    return (marked.filter("whole").select("doc_id", "crc", "l", "n").unionByName(later)
+
+    def listed(hot: bool) -> DataFrame:
+        lists = (marked.filter(F.col("a").isNotNull() & (F.col("hot") == hot)).groupBy("doc_id", "crc")
+                 .agg(F.collect_list(F.struct("l", "n", "a")).alias("phrases"))
+                 .withColumnsRenamed({"doc_id": "_id", "crc": "_crc"}))
+        on = keyed["doc_id"].eqNullSafe(lists["_id"]) & (keyed["crc"] == lists["_crc"])
+        return keyed.join(lists, on).select("doc_id", "crc", "text", "phrases")
+
+    order = Window.partitionBy("a", "g", "salt").orderBy(F.col("doc_id").asc_nulls_first(), "place")
+    many = (listed(True).mapInArrow(
+                suffixes, "a long, g long, salt int, doc_id long, place long, dup boolean")
+            .withColumn("dup", F.col("dup") | _elsewhere(order)).filter("dup")
+            .select("doc_id", F.shiftright("place", 32).cast("int").alias("crc"),
+                    F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("l"), F.lit(1).alias("n")))
+    few = (listed(False).mapInArrow(contexts, "a long, doc_id long, crc int, l int, bytes binary")
+           .repartition("a").sortWithinPartitions("a")
+           .mapInArrow(compare, "doc_id long, crc int, l int, n int"))
+    return (marked.filter(F.col("a").isNull()).select("doc_id", "crc", "l", "n")
+            .unionByName(many).unionByName(few)
             .groupBy("doc_id", "crc").agg(F.collect_list(F.struct("l", "n")).alias("ranges")))
 
 
@@ -278,14 +367,10 @@ def _spans(ranges, size: int) -> np.ndarray:
     """Maximal removed runs [start, end) of one text."""
     if ranges is None or not len(ranges):
         return np.zeros((0, 2), np.int64)
-    edge = np.zeros(size + 1, np.int32)
     l = ranges.field(0).to_numpy().astype(np.int64)
     n = ranges.field(1).to_numpy().astype(np.int64)
-    np.add.at(edge, l, 1)
-    np.add.at(edge, l + n - 1 + LENGTH, -1)
-    covered = np.concatenate([[0], (np.cumsum(edge[:-1]) > 0).astype(np.int8), [0]])
-    turn = np.diff(covered)
-    return np.stack([np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)], axis=1)
+    _, start, length = _runs(np.zeros(len(l), np.int64), l, n - 1 + LENGTH)
+    return np.stack([start, start + length], axis=1)
 
 
 def _cut(batches):
