@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bytesview import slices
 from tidemark.llm.common import read
 
 CHUNK = 32_768
@@ -63,7 +64,7 @@ def _with_ids(df: DataFrame, column: str, path: str, pattern: str) -> DataFrame:
     """``df`` with ``ids`` (array<int>) in place of the text ``column``."""
     def run(batches):
         enc = encoding(path, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, column)):
             at = batch.schema.get_field_index(column)
             keep = [i for i in range(batch.num_columns) if i != at]
             ids = [enc.encode_to_numpy(t) if t else np.zeros(0, np.uint32)
@@ -151,7 +152,7 @@ def decode(df: DataFrame, path: str | None = None, pattern: str | None = None) -
 
     def run(batches):
         enc = encoding(path, pattern)
-        for batch in batches:
+        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, len(whole), 256)):
             out = [enc.decode_bytes(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else b""
                    for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays(

@@ -23,6 +23,18 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = 1 << 21):
+    """Parts of a batch whose values in ``column`` take about ``size`` bytes."""
+    data = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(batch):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x ^ (x >> np.uint64(30))
