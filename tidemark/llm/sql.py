@@ -83,6 +83,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+TOKEN_COUNTS = r"""
+WITH counted AS (
+  SELECT source, lang, strlen(coalesce(text, '')) AS bytes,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+    doc_id = min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents
+)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS n_tokens
+FROM (SELECT source, lang, 'bytes-v1' AS tokenizer, bytes AS tokens FROM counted WHERE first
+      UNION ALL SELECT source, lang, 'words-v1', words FROM counted WHERE first)
+GROUP BY source, lang, tokenizer
+"""
+
 
 def _quality_rules() -> str:
     from tidemark.llm.quality_rules import GRID, Risk
@@ -94,5 +107,6 @@ def _quality_rules() -> str:
 
 SQL = {
     "op6_chat_format": CHAT_FORMAT,
+    "op8_token_counts": TOKEN_COUNTS,
     "op10_quality_rules": _quality_rules(),
 }
