@@ -60,8 +60,14 @@ def _pattern(pattern: str):
     return regex.compile(pattern)
 
 
-def _with_ids(df: DataFrame, column: str, path: str, pattern: str) -> DataFrame:
-    """``df`` with ``ids`` (array<int>) in place of the text ``column``."""
+def _decoded(enc, lists: pa.ListArray) -> pa.Array:
+    return pa.array([enc.decode_bytes(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else b""
+                     for x in lists], pa.binary())
+
+
+def _with_ids(df: DataFrame, column: str, path: str, pattern: str, back: bool = False) -> DataFrame:
+    """``df`` with ``ids`` (array<int>) in place of the text ``column``; with
+    ``back`` the ids are decoded in the same worker into ``decoded``."""
     def run(batches):
         enc = encoding(path, pattern)
         for batch in (part for whole in batches for part in slices(whole, column)):
@@ -73,10 +79,11 @@ def _with_ids(df: DataFrame, column: str, path: str, pattern: str) -> DataFrame:
             values = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in keep] + [lists], [batch.schema.names[i] for i in keep] + ["ids"])
+                [batch.column(i) for i in keep] + [lists] + ([_decoded(enc, lists)] if back else []),
+                [batch.schema.names[i] for i in keep] + ["ids"] + (["decoded"] if back else []))
 
     rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != column]
-    return df.mapInArrow(run, ", ".join(rest + ["ids array<int>"]))
+    return df.mapInArrow(run, ", ".join(rest + ["ids array<int>"] + (["decoded binary"] if back else [])))
 
 
 def _boundaries(chunks: DataFrame, pattern: str) -> DataFrame:
@@ -117,15 +124,16 @@ def _cuts(bounds: DataFrame) -> DataFrame:
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
-           text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array<int>) in place of its text."""
+           text: str = "text", back: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (array<int>) in place of its text; with ``back``
+    also ``decoded`` (binary), the bytes that the ids stand for."""
     if path is None:
         path, pattern = default_vocabulary()
     # the row number only has to be the same in both reads of one plan
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     body = F.col(text)
     long = F.coalesce(F.length(body) > CHUNK, F.lit(False))
-    short = _with_ids(docs.filter(~long), text, path, pattern)
+    short = _with_ids(docs.filter(~long), text, path, pattern, back)
 
     whole = rows.filter(long)
     n = F.length(body)
@@ -142,7 +150,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     coded = _with_ids(pieces.repartition("_row", "piece"), "t", path, pattern)
     joined = coded.groupBy("_row").agg(F.flatten(F.transform(
         F.sort_array(F.collect_list(F.struct("piece", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return short.unionByName(whole.drop(text).join(joined, "_row").drop("_row"))
+    joined = whole.drop(text).join(joined, "_row").drop("_row")
+    return short.unionByName(decode(joined, path, pattern) if back else joined)
 
 
 def decode(df: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -153,17 +162,15 @@ def decode(df: DataFrame, path: str | None = None, pattern: str | None = None) -
     def run(batches):
         enc = encoding(path, pattern)
         for batch in (whole.slice(i, 256) for whole in batches for i in range(0, len(whole), 256)):
-            out = [enc.decode_bytes(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else b""
-                   for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays(
-                batch.columns + [pa.array(out, pa.binary())], batch.schema.names + ["decoded"])
+                batch.columns + [_decoded(enc, batch.column("ids"))], batch.schema.names + ["decoded"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
     return df.mapInArrow(run, ", ".join(fields + ["decoded binary"]))
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    out = decode(encode(docs.select("doc_id", "text")))
+    out = encode(docs.select("doc_id", "text"), back=True)
     return out.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
