@@ -80,3 +80,42 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     _, down = powers(len(prefix))
     return mix((prefix[end] - prefix[start]) * down[start]
                + (end - start).astype(np.uint64) * np.uint64(MIX[3]))
+
+
+def words(body: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: np.ndarray,
+          piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every word of a batch, in text order.
+
+    ``lower`` maps bytes first; ``is_word`` says which bytes make words.  About
+    ``piece`` bytes are hashed at once; a piece ends at a row's end or before a
+    byte that is no part of a word.
+    """
+    hashes, rows = [], []
+    n, at = len(body), 0
+    while at < n:
+        stop = min(n, at + piece)
+        if stop < n:
+            end = int(offsets[np.searchsorted(offsets, stop, "left")])
+            free = np.flatnonzero(~is_word[lower[body[stop:end]]])
+            stop = stop + int(free[0]) if len(free) else end
+        text = lower[body[at:stop]]
+        inside = is_word[text]
+        edge = offsets[(offsets > at) & (offsets < stop)] - at
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        first[edge] = inside[edge]
+        last = inside.copy()
+        last[:-1] &= ~inside[1:]
+        last[edge - 1] = inside[edge - 1]
+        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        hashes.append(range_hash(prefix_hash(text), start, end))
+        rows.append(np.searchsorted(offsets, start + at, "right") - 1)
+        at = stop
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(rows)
+
+
+#: A-Z to a-z, every other byte unchanged
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20

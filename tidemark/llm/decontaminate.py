@@ -30,47 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesview import flat, prefix_hash, range_hash
+from tidemark.llm.bytesview import LOWER, flat, prefix_hash, range_hash, words
 from tidemark.llm.common import lower_ascii, materialise, read
 
 WINDOW = 10
 BLOCK = 100_000          # windows of one block of the benchmark
-PIECE = 1 << 21          # bytes tokenised at once
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 _WORD = np.zeros(256, bool)
 _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = True
 _WORD[0x80:] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
-
-
-def words(body: np.ndarray, offsets: np.ndarray):
-    """(hash, row) of every word of a batch, in text order."""
-    hashes, rows = [], []
-    n, at = len(body), 0
-    while at < n:
-        stop = min(n, at + PIECE)
-        if stop < n:  # a piece ends before a byte that is no part of a word, or at a row's end
-            end = int(offsets[np.searchsorted(offsets, stop, "left")])
-            free = np.flatnonzero(~_WORD[_LOWER[body[stop:end]]][:1 << 24])
-            stop = stop + int(free[0]) if len(free) else end
-        text = _LOWER[body[at:stop]]
-        inside = _WORD[text]
-        edge = offsets[(offsets > at) & (offsets < stop)] - at
-        first = inside.copy()
-        first[1:] &= ~inside[:-1]
-        first[edge] = inside[edge]
-        last = inside.copy()
-        last[:-1] &= ~inside[1:]
-        last[edge - 1] = inside[edge - 1]
-        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        hashes.append(range_hash(prefix_hash(text), start, end))
-        rows.append(np.searchsorted(offsets, start + at, "right") - 1)
-        at = stop
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(rows)
 
 
 @dataclass
@@ -128,7 +97,7 @@ def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             body, offsets = flat(batch.column("text"))
-            hashes, row = words(body, offsets)
+            hashes, row = words(body, offsets, _WORD, LOWER)
             count = np.bincount(row, minlength=len(batch))
             place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             number = np.minimum(np.searchsorted(terms, hashes), max(len(terms) - 1, 0))

@@ -8,6 +8,7 @@ from tidemark.llm.bpe import op7_byte_bpe
 from tidemark.llm.chat_format import op6_chat_format
 from tidemark.llm.common import on_workers
 from tidemark.llm.decontaminate import op9_decontaminate
+from tidemark.llm.jaccard_join import op1_jaccard_join
 from tidemark.llm.quality_rules import op10_quality_rules
 from tidemark.llm.shard import op5_shard
 from tidemark.llm.suffix_dedup import op2_suffix_dedup
@@ -23,6 +24,7 @@ def _query(run):
 
 
 QUERIES = {name: _query(run) for name, run in {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_shard": op5_shard,
     "op6_chat_format": op6_chat_format,
