@@ -9,10 +9,12 @@ from tidemark.llm.chat_format import op6_chat_format
 from tidemark.llm.common import on_workers
 from tidemark.llm.decontaminate import op9_decontaminate
 from tidemark.llm.jaccard_join import op1_jaccard_join
+from tidemark.llm.kneser_ney import op3_quality_classifier
 from tidemark.llm.quality_rules import op10_quality_rules
 from tidemark.llm.shard import op5_shard
 from tidemark.llm.suffix_dedup import op2_suffix_dedup
 from tidemark.llm.token_counts import op8_token_counts
+from tidemark.llm.token_shards import op4_token_shards
 
 
 def _query(run):
@@ -26,6 +28,8 @@ def _query(run):
 QUERIES = {name: _query(run) for name, run in {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_token_shards": op4_token_shards,
     "op5_shard": op5_shard,
     "op6_chat_format": op6_chat_format,
     "op7_byte_bpe": op7_byte_bpe,

@@ -31,7 +31,7 @@ Defined results: null text is empty; texts shorter than LENGTH keep all
 bytes; rows are identified by (doc_id, CRC of the text), so repeated equal
 rows get the same result as one row; rows sharing a doc_id are ordered by CRC;
 a null doc_id sorts first; an empty table gives no rows; other columns are
-ignored here and kept by ``remove_repeats``.
+kept by ``remove_repeats``.
 """
 
 from __future__ import annotations
