@@ -30,7 +30,7 @@ from tidemark.llm.common import materialise, read
 SHARDS = 16
 ROUNDS = 3
 SLACK = 0.25             # room beyond an even share while links pull; levelled at the end
-BUCKETS = 1 << 14
+BUCKETS = 1 << 12
 
 
 def _bucket(*cols) -> Column:

@@ -373,7 +373,7 @@ def _spans(ranges, size: int) -> np.ndarray:
     return np.stack([start, start + length], axis=1)
 
 
-def _cut(batches):
+def _cut(batches, as_text: bool = False):
     """mapInArrow: add the removed spans and the kept bytes to each document."""
     for batch in batches:
         body, offsets = flat(batch.column("text"))
@@ -392,20 +392,24 @@ def _cut(batches):
             [batch.column(i) for i in keep]
             + [pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                pa.array(np.diff(offsets), pa.int64()),
-               pa.array(kept, pa.binary())],
+               pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text
+               else pa.array(kept, pa.binary())],
             [batch.schema.names[i] for i in keep] + ["spans", "n_bytes", "kept"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """``docs`` without its text but with ``spans`` (removed byte ranges),
-    ``n_bytes`` and ``kept`` (the remaining bytes)."""
+    ``n_bytes`` and ``kept``: the remaining bytes, or as text (a code point
+    that was cut in two goes with the cut)."""
     ranges = duplicate_ranges(docs).withColumnsRenamed({"doc_id": "_id", "crc": "_crc"})
     keyed = _keyed(docs)
     joined = keyed.join(ranges, keyed["doc_id"].eqNullSafe(ranges["_id"])
                         & (keyed["crc"] == ranges["_crc"]), "left").drop("_id", "_crc", "crc")
     rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    kind = "string" if as_text else "binary"
     return joined.mapInArrow(
-        _cut, f"{rest}, spans array<struct<start:int,end:int>>, n_bytes long, kept binary")
+        lambda batches: _cut(batches, as_text),
+        f"{rest}, spans array<struct<start:int,end:int>>, n_bytes long, kept {kind}")
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
