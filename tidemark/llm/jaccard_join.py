@@ -6,7 +6,7 @@ start (by a 128-bit signature), so copies are never paired.
 
 1. Candidates.  A set of n shingles that links with another set misses at most
    k = n/10 of its shingles there.  Of its k + j smallest shingles by hash
-   (j = n/20 + 1) at least j must therefore occur in another document.  Only
+   (j = n/6 + 1) at least j must therefore occur in another document.  Only
    these shingles are shuffled; shared ones are counted in the map task first
    and leave one row per batch, however common they are.  Sets that fail the
    test link with nothing and are done.
@@ -94,7 +94,8 @@ def _signatures(row, gram, n_rows):
 
 
 def _needed(n):
-    return n // 20 + 1
+    """Of the n/10 + j leading shingles that are looked up, j must be shared."""
+    return n // 6 + 1
 
 
 def first_pass(batches):
@@ -161,7 +162,7 @@ def second_pass(batches):
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(v, s1, s2, n, h): the sets that may link with another set."""
-    may = sets.filter((F.col("n") >= SMALL) & (F.col("shared") >= F.floor(F.col("n") / 20) + 1))
+    may = sets.filter((F.col("n") >= SMALL) & (F.col("shared") >= F.floor(F.col("n") / 6) + 1))
     may = may.select("s1", "s2", "n", "rep")
     ids = may.select(F.col("rep").alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
