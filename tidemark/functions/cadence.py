@@ -4,6 +4,8 @@ expressions.  Every division is NULL-guarded (Spark runs in ANSI mode, where
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,29 +23,14 @@ PAY_TERM_CYCLES: list[tuple[tuple[str, ...], int]] = [
 ]
 
 
-def pay_term_code(pt: Column) -> Column:
-    """1-based row of the first rule whose keyword occurs in the lower-cased
-    pay terms; NULL when none does (or the terms are NULL)."""
-    expr = None
-    for code, (words, _days) in enumerate(PAY_TERM_CYCLES, start=1):
-        cond = None
-        for w in words:
-            c = pt.contains(w)
-            cond = c if cond is None else (cond | c)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr
-
-
-def cycle_of_code(code: Column) -> Column:
-    expr = None
-    for i, (_words, days) in enumerate(PAY_TERM_CYCLES, start=1):
-        expr = F.when(code == i, F.lit(days)) if expr is None else expr.when(code == i, F.lit(days))
-    return expr
-
-
 def pay_term_cycle_days(pt: Column) -> Column:
-    """cycle length from lower-cased pay terms; NULL when nothing matches."""
-    return cycle_of_code(pay_term_code(pt))
+    """cycle length from lower-cased pay terms; NULL when no keyword
+    occurs in them (or the terms are NULL)."""
+    expr = F
+    for words, days in PAY_TERM_CYCLES:
+        hit = reduce(lambda a, b: a | b, [pt.contains(w) for w in words])
+        expr = expr.when(hit, F.lit(days))
+    return expr
 
 
 def maint_cycle_days(terms_cycle: Column, median_gap_days_int: Column) -> Column:
@@ -77,17 +64,26 @@ def threshold_days(cycle: Column, p90_raw: Column, median_raw: Column, grace: Co
     return F.when(raw < floor, floor).otherwise(raw).cast("int")
 
 
+def decimal_ratio(top: Column, bottom: Column) -> Column:
+    """``top / bottom`` as the source's decimal division gives it: six decimals,
+    the rest cut off, then stored as a float.  Exact: whole cents divide as
+    integers.  The caller guards against a zero ``bottom``."""
+    cents = lambda c: (c * 100).cast("decimal(28,0)")
+    a, b = (cents(top) * F.lit(1_000_000)).cast("decimal(38,0)"), cents(bottom)
+    # a - a % b is a multiple of b and % has the sign of a: division towards zero
+    whole = ((a - a % b) / b).cast("decimal(38,0)")
+    return whole.cast("double") / F.lit(1e6)
+
+
 def change_ratio(cur: Column, prev: Column) -> Column:
     """(cur - prev) / prev as a fraction; NULL when prev is 0 or NULL."""
-    return F.when(prev.isNotNull() & (prev != 0),
-                  (cur - prev).cast("double") / prev.cast("double"))
+    return F.when(prev.isNotNull() & (prev != 0), decimal_ratio(cur - prev, prev))
 
 
 def yoy_change(prev_month: Column, same_month_ly: Column) -> Column:
     """month t0-1 against month t0-12 (the reference's off-by-one kept)."""
     return F.when(same_month_ly.isNotNull() & (same_month_ly != 0),
-                  (F.coalesce(prev_month, F.lit(0)) - same_month_ly).cast("double")
-                  / same_month_ly.cast("double"))
+                  decimal_ratio(F.coalesce(prev_month, F.lit(0)) - same_month_ly, same_month_ly))
 
 
 def churned_hard90(forward_rev_90d: Column) -> Column:
@@ -186,17 +182,11 @@ def _clamp01(x: Column) -> Column:
     return F.when(x < 0, F.lit(0.0)).when(x > 1, F.lit(1.0)).otherwise(x)
 
 
-LATENESS_DIGITS = 9
-
-
 def lateness_component(recency: Column, threshold: Column) -> Column:
-    """logistic lateness, 1 / (1 + exp(-4 (recency - thr) / thr)).
-
-    Rounded to ``LATENESS_DIGITS`` decimals: ``exp`` differs in the last bit
-    between math libraries (JVM vs C), and the value should not depend on
-    where it ran.  1e-9 is far inside the source's own decimal arithmetic."""
+    """logistic lateness, 1 / (1 + exp(-4 (recency - thr) / thr)); the
+    threshold is a float in the source, so the ratio is float arithmetic."""
     ratio = F.when(threshold != 0, (recency - threshold).cast("double") / threshold.cast("double"))
-    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-4.0) * ratio)), LATENESS_DIGITS)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-4.0) * ratio))
 
 
 def credits_component(returns_90d: Column, rev_180d: Column) -> Column:

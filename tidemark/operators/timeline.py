@@ -1,20 +1,22 @@
 """Per-customer event timeline: every time-range feature of the snapshot in
 one shuffle-and-sort instead of the reference's per-feature theta joins.
 
-Plan (two shuffles in total, whatever the number of features):
-
-1. Each source row becomes one or more *events* ``(customer_id, day, ...)``
-   via ``explode`` -- an invoice also emits a *probe* at its month start (the
-   snapshot date t0), an order emits a probe plus its contract start/end
-   dates.  Sources are scanned once.
-2. ``groupBy(customer_id, day)`` rolls events up.  Partial aggregation runs
-   map-side, so a customer holding a third of all rows is already reduced to
-   one row per (day, map task) before the shuffle, and that shuffle spreads
-   the customer over tasks by day.  After it, a customer is at most one row
-   per calendar day it was active -- bounded however many raw rows it has.
-3. One ``Window.partitionBy(customer_id)`` (second and last shuffle) with two
-   orderings on the same partitioning (day number, month index); Spark adds a
-   sort between them but no exchange.  RANGE frames express the reference's
+Plan (a row is shuffled twice, whatever the number of features):
+
+1. Each feed is rolled up by ``(customer_id, day)`` on its own (first shuffle).
+   Partial aggregation runs map-side and the key spreads a customer holding a
+   third of all rows over tasks by day.  An order also stands for its contract
+   start and end days.  Invoices use fixed-width hash aggregation; the latest
+   order of a day is a ``max`` over a struct, on the order branch alone.
+2. Every rolled-up invoice or order day emits a *probe* at its month start (the
+   snapshot date t0), after the first shuffle, where a customer has at most one
+   row per day.  One exchange on ``customer_id`` (the second and last) brings
+   the days of a customer together; ``groupBy(customer_id, day)`` merges the
+   feeds on that partitioning.  A customer is at most one row per calendar day,
+   however many raw rows it has.  Feeds that a query does not use are not read.
+3. One ``Window.partitionBy(customer_id)`` on the same partitioning with two
+   orderings (day number, month index); Spark adds a sort between them but no
+   exchange.  RANGE frames express the reference's
    ``t0 - N <= date < t0`` predicates exactly, because a probe sits at day
    ``t0`` and frames are relative to it:
 
@@ -41,30 +43,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.cadence import cycle_of_code, pay_term_code
+from tidemark.functions.cadence import pay_term_cycle_days
 from tidemark.params import CadenceParams
 
 _DEC = "decimal(18,2)"
 
-# Event layout shared by every source (NULL where a source has no value).
-_EVENT_FIELDS: list[tuple[str, str]] = [
-    ("day", "int"),
-    ("probe", "int"),
-    ("inv_n", "int"),
-    ("inv_amt", "bigint"),     # cents
-    ("inv_pos", "int"),
-    ("inv_neg", "int"),
-    ("ord_rev", "bigint"),     # cents
-    ("ord_maint", "int"),
-    ("ord_tech", "int"),
-    ("ord_terms", "bigint"),
-    ("contract", "int"),
-    ("bo_qty", "double"),
-]
-
-
 def day_number(c: Column) -> Column:
     return F.unix_date(c)
 
@@ -80,90 +64,77 @@ def from_cents(cents: Column) -> Column:
     return (cents.cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
 
 
-def _event(**values: Column) -> Column:
-    unknown = set(values) - {n for n, _ in _EVENT_FIELDS}
-    if unknown:
-        raise ValueError(f"unknown event fields {sorted(unknown)}")
-    return F.struct(*[
-        (values[n] if n in values else F.lit(None)).cast(t).alias(n)
-        for n, t in _EVENT_FIELDS
-    ])
-
-
-def pack_terms(day: Column, pt: Column) -> Column:
-    """Latest-terms key as one fixed-width long: ``day * 8 + code`` where
-    code is the 1-based row of the pay-term rule that matched (0: none).
-    ``max`` over it is the as-of lookup "latest order before t0", and it
-    keeps the roll-up on hash aggregation (a string buffer would force a
-    sort-based aggregate).  Same-day orders: the longest billing cycle wins
-    -- a deterministic tie-break; the reference leaves the choice open."""
-    return day.cast("bigint") * 8 + F.coalesce(pay_term_code(pt), F.lit(0)).cast("bigint")
-
-
-def unpack_terms_cycle(packed: Column) -> Column:
-    return cycle_of_code(packed.bitwiseAND(F.lit(7)))
-
-
-def _explode_events(df: DataFrame, events: list[Column]) -> DataFrame:
+def _known(df: DataFrame) -> DataFrame:
+    """A NULL customer matches no spine row: it has no timeline."""
+    return df.filter(F.col("customer_id").isNotNull())
+
+
+def invoice_days(inv_signed: DataFrame) -> DataFrame:
+    """Invoices by (customer_id, day); money in cents."""
+    amt = to_cents(F.col("amt_local_signed"))
+    return _known(inv_signed).groupBy("customer_id", day_number(F.col("tx_date")).alias("day")).agg(
+        F.count(F.lit(1)).cast("int").alias("inv_n"),
+        F.sum(amt).alias("inv_net"),
+        F.sum(F.when(amt < 0, amt)).alias("inv_neg_amt"),
+        F.sum(F.when(amt > 0, 1).otherwise(0)).alias("inv_pos_cnt"),
+        F.sum(F.when(amt < 0, 1).otherwise(0)).alias("inv_neg_cnt"))
+
+
+def order_days(orders_typed: DataFrame) -> DataFrame:
+    """Orders and their contract dates by (customer_id, day).  ``ord_terms`` is
+    the day's order with the highest order number (T8), its pay terms kept as
+    they are, NULL included."""
+    day, start, end = (day_number(F.col(c)) for c in ("order_date", "contract_start", "contract_end"))
+    dates = F.array(F.struct(day.alias("day"), F.lit(1).alias("n")),
+                    F.struct(start.alias("day"), F.lit(0).alias("n")),
+                    F.struct(end.alias("day"), F.lit(0).alias("n")))
+    is_order = F.col("at.n") == 1
+    on = lambda c: F.when(is_order, c)
     return (
-        df.select("customer_id", F.explode(F.array(*events)).alias("e"))
-        .select("customer_id", "e.*")
-        .filter(F.col("day").isNotNull())
-    )
-
-
-def invoice_events(inv_signed: DataFrame) -> DataFrame:
-    amt = F.col("amt_local_signed")
-    d = F.col("tx_date")
-    return _explode_events(inv_signed, [
-        _event(day=day_number(d), inv_n=F.lit(1), inv_amt=to_cents(amt),
-               inv_pos=F.when(amt > 0, 1).otherwise(0),
-               inv_neg=F.when(amt < 0, 1).otherwise(0)),
-        _event(day=day_number(F.trunc(d, "MM")), probe=F.lit(1)),
-    ])
-
-
-def order_events(orders_typed: DataFrame) -> DataFrame:
-    d = F.col("order_date")
-    return _explode_events(orders_typed, [
-        _event(day=day_number(d), ord_rev=to_cents(F.col("planned_revenue")),
-               ord_maint=F.col("is_maint"), ord_tech=F.col("is_tech"),
-               ord_terms=pack_terms(day_number(d), F.lower(F.col("pay_terms")))),
-        _event(day=day_number(F.trunc(d, "MM")), probe=F.lit(1)),
-        _event(day=day_number(F.col("contract_start")), contract=F.lit(1)),
-        _event(day=day_number(F.col("contract_end")), contract=F.lit(1)),
-    ])
-
-
-def backorder_events(backorders: DataFrame) -> DataFrame:
-    return _explode_events(backorders, [
-        _event(day=day_number(F.col("bo_date")), bo_qty=F.col("qty")),
-    ])
-
-
-def daily_rollup(inv_signed: DataFrame, orders_typed: DataFrame,
-                 backorders: DataFrame) -> DataFrame:
-    """Step 1-2: one row per (customer_id, day) over all three feeds."""
-    ev = (invoice_events(inv_signed)
-          .unionByName(order_events(orders_typed))
-          .unionByName(backorder_events(backorders)))
-    amt = F.col("inv_amt")
+        _known(orders_typed).withColumn("at", F.explode(dates)).filter(F.col("at.day").isNotNull())
+        .groupBy("customer_id", F.col("at.day").alias("day")).agg(
+            F.max(on(F.lit(1))).alias("ord_n"),
+            F.sum(on(to_cents(F.col("planned_revenue")))).alias("ord_rev"),
+            F.sum(on(F.col("is_maint"))).alias("ord_maint"),
+            F.sum(on(F.col("is_tech"))).alias("ord_tech"),
+            F.max(on(F.struct("order_num", F.lower("pay_terms").alias("terms")))).alias("ord_terms"),
+            F.max(F.when(~is_order, 1)).alias("contract")))
+
+
+def backorder_days(backorders: DataFrame) -> DataFrame:
+    return _known(backorders).filter(F.col("bo_date").isNotNull()).groupBy(
+        "customer_id", day_number(F.col("bo_date")).alias("day")).agg(F.sum("qty").alias("bo_qty"))
+
+
+def _with_probes(days: DataFrame, spine: Column) -> DataFrame:
+    """Each day, and after it a probe at its month start where ``spine`` holds."""
+    rest = [c for c in days.columns if c not in ("customer_id", "day")]
+    itself = F.struct("day", F.lit(None).cast("int").alias("probe"), *rest)
+    month = day_number(F.trunc(F.date_from_unix_date("day"), "MM"))
+    types = dict(days.dtypes)
+    probe = F.struct(month.alias("day"), F.lit(1).alias("probe"),
+                     *[F.lit(None).cast(types[c]).alias(c) for c in rest])
+    return days.select("customer_id", F.explode(F.when(spine, F.array(itself, probe)).otherwise(
+        F.array(itself))).alias("e")).select("customer_id", "e.*")
+
+
+def daily_rollup(inv_signed: DataFrame, orders_typed: DataFrame | None = None,
+                 backorders: DataFrame | None = None) -> DataFrame:
+    """Steps 1-2: one row per (customer_id, day) over the given feeds."""
+    rows = _with_probes(invoice_days(inv_signed), F.lit(True))
+    for days, spine in ((None if orders_typed is None else order_days(orders_typed), F.col("ord_n") == 1),
+                        (None if backorders is None else backorder_days(backorders), F.lit(False))):
+        if days is not None:
+            rows = rows.unionByName(_with_probes(days, spine), allowMissingColumns=True)
+    absent = {c: t for c, t in (("ord_n", "int"), ("ord_rev", "bigint"), ("ord_maint", "bigint"),
+                                ("ord_tech", "bigint"), ("contract", "int"), ("bo_qty", "double"),
+                                ("ord_terms", "struct<order_num:string,terms:string>"))
+              if c not in rows.columns}
+    rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()}) if absent else rows
+    merged = [c for c in rows.columns if c not in ("customer_id", "day")]
     return (
-        ev.groupBy("customer_id", "day")
-        .agg(
-            F.max("probe").alias("probe"),
-            F.sum("inv_n").alias("inv_n"),
-            F.sum(amt).alias("inv_net"),
-            F.sum(F.when(amt < 0, amt)).alias("inv_neg_amt"),
-            F.sum("inv_pos").alias("inv_pos_cnt"),
-            F.sum("inv_neg").alias("inv_neg_cnt"),
-            F.sum("ord_rev").alias("ord_rev"),
-            F.sum("ord_maint").alias("ord_maint"),
-            F.sum("ord_tech").alias("ord_tech"),
-            F.max("ord_terms").alias("ord_terms"),
-            F.max("contract").alias("contract"),
-            F.sum("bo_qty").alias("bo_qty"),
-        )
+        rows.repartition("customer_id").groupBy("customer_id", "day")
+        .agg(*[F.max(c).alias(c) for c in merged])   # a feed has one row a day
         .withColumn("month", F.year(F.date_from_unix_date("day")) * 12
                     + F.month(F.date_from_unix_date("day")))
     )
@@ -189,7 +160,7 @@ def timeline_features(daily: DataFrame, params: CadenceParams = CadenceParams())
 
     is_inv = F.col("inv_n") > 0
     prev_inv = F.max(F.when(is_inv, F.col("day"))).over(before)
-    terms = F.max("ord_terms").over(before)
+    terms = F.last(F.when(F.col("ord_n") == 1, F.struct("day", "ord_terms.terms")), True).over(before)
     day_level = daily.select(
         "*",
         prev_inv.alias("prev_inv_day"),
@@ -259,8 +230,9 @@ def probe_features(timeline: DataFrame) -> DataFrame:
             F.coalesce(F.col("w_bo_30"), F.lit(0.0)).alias("backorder_qty_30d"),
             F.coalesce(F.col("w_maint_180"), F.lit(0)).cast("int").alias("maint_orders_180d"),
             F.coalesce(F.col("w_tech_180"), F.lit(0)).cast("int").alias("tech_orders_180d"),
-            F.date_from_unix_date(F.shiftright("last_order", 3).cast("int")).alias("last_order_date"),
-            unpack_terms_cycle(F.col("last_order")).alias("terms_cycle_days"),
+            F.date_from_unix_date("last_order.day").alias("last_order_date"),
+            F.col("last_order.terms").alias("pay_terms"),
+            pay_term_cycle_days(F.col("last_order.terms")).alias("terms_cycle_days"),
             F.coalesce(F.col("w_contract"), F.lit(0)).cast("int").alias("in_renewal_grace"),
             dec(F.coalesce(cents("w_fwd_90"), F.lit(0))).alias("forward_rev_90d"),
             "gap_n", "gap_sum", "gap_sum2", "gap_p50", "gap_p90",

@@ -35,7 +35,6 @@ class ScoreParams:
     headers: str = "friendly"          # "friendly" or "technical"
     max_iter: int = 1000
     tol: float = 1e-8
-    rows_per_partition: int = 500_000  # training partitions: ceil(n / this)
     median_accuracy: int = 10000       # sketch accuracy that brackets the exact median
     feature_cols: tuple[str, ...] = field(default_factory=lambda: tuple(FEATURE_COLUMNS))
 

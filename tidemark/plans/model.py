@@ -6,9 +6,9 @@ back into the plan as literals.
 
 * G4 median imputation needs the *exact* median (midpoint of the two middle
   values for even n).  A global exact ``percentile`` would merge every
-  distinct value into one task, so it is found by distributed selection: a
-  ``percentile_approx`` bracket, then bucket-refinement passes that each
-  return a fixed-size histogram (see :func:`exact_medians`).
+  distinct value into one task, so it is found by distributed selection:
+  ``percentile_approx`` narrows a bracket by a fixed factor a pass, until the
+  few rows left are listed (see :func:`exact_medians`).
 * G5 standardises with the population std (zero variance -> scale 1).
 * G6 is Spark ML's LogisticRegression with instance weights n/(2 n_class)
   and ``regParam = 1/n``: the same optimum as C=1 with balanced class
@@ -31,7 +31,6 @@ from tidemark.session import ensure_checkpoint_dir
 
 
 EPS = 2.220446049250313e-16  # double machine epsilon
-LAST_MEDIAN_PASSES = 0       # passes used by the last exact_medians call (diagnostics)
 
 
 def is_constant(var: float, mean: float, n: int) -> bool:
@@ -65,20 +64,25 @@ def check_features(df: DataFrame, feature_cols) -> None:
 
 
 def coerce_features(df: DataFrame, feature_cols) -> DataFrame:
-    """Booleans -> 0/1, everything else numeric; unparsable -> NULL."""
+    """Booleans -> 0/1, everything else numeric; unparsable and NaN -> NULL."""
     types = dict(df.dtypes)
     out = {}
     for c in feature_cols:
         col = F.col(c)
         if types[c] == "boolean":
             col = col.cast("int")
-        out[c] = col.try_cast("double") if types[c] == "string" else col.cast("double")
+        number = col.try_cast("double") if types[c] == "string" else col.cast("double")
+        out[c] = F.nanvl(number, F.lit(None).cast("double"))
     return df.withColumns(out)
 
 
-def label_column(target_col: str) -> Column:
-    """Missing or unparsable -> 0, else truncated to int."""
-    return F.coalesce(F.col(target_col).cast("string").try_cast("double"), F.lit(0.0)).cast("int")
+def label_column(target_col: str, df: DataFrame) -> Column:
+    """Missing or unparsable -> 0, else truncated to int; booleans 0/1."""
+    value = F.col(target_col)
+    if dict(df.dtypes)[target_col] == "boolean":
+        value = value.cast("int")
+    number = F.nanvl(value.cast("string").try_cast("double"), F.lit(0.0))
+    return F.coalesce(number, F.lit(0.0)).cast("int")
 
 
 def _dbl(v: float) -> str:
@@ -86,111 +90,135 @@ def _dbl(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
+def _targets(n: int) -> list[int]:
+    """The one or two middle ranks of n values."""
+    return sorted({(n - 1) // 2, n // 2}) if n else []
+
+
+def _listed(df: DataFrame, cells: list[tuple[str, float, float]]) -> list[list[tuple[float, int]]]:
+    """Distinct values with their counts inside each (column, lo, hi)."""
+    parts = ", ".join(
+        f"CASE WHEN CAST(`{c}` AS DOUBLE) BETWEEN {_dbl(lo)} AND {_dbl(hi)} "
+        f"THEN named_struct('t', {i}, 'v', CAST(`{c}` AS DOUBLE)) END" for i, (c, lo, hi) in enumerate(cells))
+    rows = (df.selectExpr(f"explode(array({parts})) AS c").filter("c IS NOT NULL")
+            .groupBy("c.t", "c.v").agg(F.count(F.lit(1)).alias("n")).collect())
+    out: list[list[tuple[float, int]]] = [[] for _ in cells]
+    for r in rows:
+        out[r["t"]].append((r["v"], r["n"]))
+    return [sorted(x) for x in out]
+
+
 def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000,
-                  buckets: int = 1024, max_passes: int = 64
-                  ) -> tuple[list[float | None], list[int]]:
+                  listed: int = 2048) -> tuple[list[float | None], list[int]]:
     """Exact median of each column (NULLs ignored; midpoint of the two middle
     values for an even count) and the non-null counts -- by distributed
     selection, never by gathering a column in one task or on the driver.
 
-    Pass 1 (one job): non-null counts and a ``percentile_approx`` bracket
-    around the middle.  Then, per middle rank k (one or two per column), a
-    refinement pass (one job for all columns) splits the current bracket
-    [lo, hi] into ``buckets`` equal-width buckets and returns count/min/max
-    per bucket plus the count below ``lo``: at most ``buckets + 2`` rows per
-    target, whatever the row count.  The bucket holding rank k becomes the
-    next bracket; once it holds a single value, that is the answer.  Bucket
-    index is monotone in the value, so every pass keeps exact rank counts,
-    and a bracket with two or more distinct values always splits (its min
-    and max land in the first and last bucket).  A sketch bracket that
-    misses rank k is replaced by the full value range.
+    Every middle rank has a bracket [lo, hi] with the number of rows below and
+    inside it.  A round makes two aggregates for all open brackets: sketch
+    quantiles just below and above the rank within the bracket, then the exact
+    counts around them.  Either the rank is one of the two values, or the
+    bracket becomes the open interval that holds it: by the sketch's guarantee
+    about 6/accuracy of the rows, at any distribution of values.  So a round
+    divides the rows by over 1000; when at most ``listed`` rows are inside, their
+    distinct values are read (``listed`` rows a rank at most reach the driver).
     """
-    eps = 1.0 / accuracy
-    margin = 3 * eps + 0.002   # a few ranks either side of the middle
-    first = df.agg(
-        *[F.count(c).alias(f"n{j}") for j, c in enumerate(cols)],
-        *[F.percentile_approx(F.col(c).cast("double"), [0.5 - margin, 0.5 + margin],
-                              accuracy).alias(f"b{j}") for j, c in enumerate(cols)],
-        *[F.min(F.col(c).cast("double")).alias(f"lo{j}") for j, c in enumerate(cols)],
-        *[F.max(F.col(c).cast("double")).alias(f"hi{j}") for j, c in enumerate(cols)],
-    ).first()
+    x = lambda j: f"CAST(`{cols[j]}` AS DOUBLE)"
+    first = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{j}") for j, c in enumerate(cols)
+                     for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
     counts = [int(first[f"n{j}"]) for j in range(len(cols))]
-    # targets: (column, rank) -> [lo, hi, answer]
-    state: dict[tuple[int, int], list] = {}
-    for j in range(len(cols)):
-        n = counts[j]
-        if n == 0:
-            continue
-        for k in sorted({(n - 1) // 2, n // 2}):
-            b = first[f"b{j}"]
-            # [lo, hi, answer, full range, rows in [lo, hi] (None: unknown)]
-            state[(j, k)] = [float(b[0]), float(b[1]), None,
-                             (float(first[f"lo{j}"]), float(first[f"hi{j}"])), None]
-    global LAST_MEDIAN_PASSES
-    LAST_MEDIAN_PASSES = 1
-    for _ in range(max_passes):
-        active = [t for t, v in state.items() if v[2] is None]
-        if not active:
-            break
-        LAST_MEDIAN_PASSES += 1
-        # one SQL expression for all targets (parsed once on the JVM)
-        cells = []
-        for i, (j, k) in enumerate(active):
-            lo, hi = state[(j, k)][0], state[(j, k)][1]
-            x = f"CAST(`{cols[j]}` AS DOUBLE)"
-            exact = state[(j, k)][4] is not None and state[(j, k)][4] <= buckets
-            if hi > lo and not exact:
-                bucket = (f"LEAST(GREATEST(FLOOR(({x} - {_dbl(lo)}) / {_dbl(hi - lo)} * {buckets}), 0), "
-                          f"{buckets - 1})")
-            else:
-                bucket = "0"
-            key = x if exact else "CAST(NULL AS DOUBLE)"
-            cells.append(
-                f"CASE WHEN {x} IS NULL THEN NULL ELSE named_struct("
-                f"'t', {i}, "
-                f"'b', CAST(CASE WHEN {x} < {_dbl(lo)} THEN -1 WHEN {x} > {_dbl(hi)} THEN {buckets} "
-                f"ELSE {bucket} END AS INT), "
-                f"'v', CASE WHEN {x} >= {_dbl(lo)} AND {x} <= {_dbl(hi)} THEN {key} END, "
-                f"'x', {x}) END")
-        rows = (df.selectExpr(f"explode(array({', '.join(cells)})) AS c").select("c.*")
-                .filter(F.col("t").isNotNull())
-                .groupBy("t", "b", "v")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                .collect())
-        per: dict[int, list] = {i: [] for i in range(len(active))}
-        for r in rows:
-            per[r["t"]].append((int(r["b"]), float(r["mn"]), int(r["n"]), float(r["mx"])))
-        for i, (j, k) in enumerate(active):
-            groups = sorted(per[i])        # by bucket, then value
-            below = sum(n for b, _, n, _ in groups if b < 0)
-            inside = [(b, mn, n, mx) for b, mn, n, mx in groups if 0 <= b < buckets]
-            rank = below
-            found = None
-            for b, mn, n, mx in inside:
-                if k < rank + n:
-                    found = (mn, mx, n)
-                    break
+    answer: dict[tuple[int, int], float] = {}
+    # (column, rank) -> [lo, hi, rows below lo, rows inside]
+    state = {(j, k): [first[f"lo{j}"], first[f"hi{j}"], 0, counts[j]]
+             for j in range(len(cols)) for k in _targets(counts[j])}
+    while state:
+        small = [t for t, v in state.items() if v[3] <= listed]
+        for t, values in zip(small, _listed(df, [(cols[t[0]], *state[t][:2]) for t in small]) if small else []):
+            rank = state.pop(t)[2]
+            for value, n in values:
                 rank += n
-            st = state[(j, k)]
-            if found is None:             # sketch bracket missed: use the full range
-                st[0], st[1] = st[3]
-                st[4] = None
-            elif found[0] == found[1]:
-                st[2] = found[0]
+                if t[1] < rank:
+                    answer[t] = value
+                    break
+        if not state:
+            break
+        todo = list(state.items())
+        inside = [f"{x(j)} >= {_dbl(v[0])} AND {x(j)} <= {_dbl(v[1])}" for (j, _), v in todo]
+        part = [(k - v[2] + 0.5) / v[3] for (_, k), v in todo]
+        cuts = df.agg(*[F.expr(
+            f"percentile_approx(CASE WHEN {c} THEN {x(t[0])} END, "
+            f"array({max(0.0, q - 2 / accuracy)}D, {min(1.0, q + 2 / accuracy)}D), {accuracy})").alias(f"q{i}")
+            for i, ((t, _), c, q) in enumerate(zip(todo, inside, part))]).first()
+        count = lambda when: f"count(CASE WHEN {when} THEN 1 END)"
+        seen = df.agg(*[F.expr(e).alias(f"{name}{i}") for i, ((t, _), c) in enumerate(zip(todo, inside))
+                        for name, e in (
+                            ("a", count(f"{c} AND {x(t[0])} < {_dbl(cuts[f'q{i}'][0])}")),
+                            ("b", count(f"{x(t[0])} = {_dbl(cuts[f'q{i}'][0])}")),
+                            ("c", count(f"{c} AND {x(t[0])} <= {_dbl(cuts[f'q{i}'][1])}")),
+                            ("d", count(f"{x(t[0])} = {_dbl(cuts[f'q{i}'][1])}")))]).first()
+        for i, ((j, k), v) in enumerate(todo):
+            low, high = cuts[f"q{i}"]
+            under, at_low, upto, at_high = (seen[f"{name}{i}"] for name in "abcd")
+            rank = k - v[2]
+            if under <= rank < under + at_low:
+                answer[j, k] = low
+            elif upto - at_high <= rank < upto:
+                answer[j, k] = high
+            elif rank < under:            # the sketch was off: below both
+                state[j, k] = [v[0], math.nextafter(low, -math.inf), v[2], under]
+            elif rank >= upto:            # ... or above both
+                state[j, k] = [math.nextafter(high, math.inf), v[1], v[2] + upto, v[3] - upto]
             else:
-                st[0], st[1], st[4] = found
-    if any(v[2] is None for v in state.values()):
-        raise RuntimeError("exact median selection did not converge")
-    medians: list[float | None] = [None] * len(cols)
-    for j in range(len(cols)):
-        n = counts[j]
-        if n == 0:
-            continue
-        a, b = state[(j, (n - 1) // 2)][2], state[(j, n // 2)][2]
-        medians[j] = a if a == b else (a + b) / 2.0
+                state[j, k] = [math.nextafter(low, math.inf), math.nextafter(high, -math.inf),
+                               v[2] + under + at_low, upto - at_high - under - at_low]
+            if (j, k) in answer:
+                del state[j, k]
+    medians = [sum(answer[j, k] for k in _targets(n)) / len(_targets(n)) if n else None
+               for j, n in enumerate(counts)]
     return medians, counts
 
 
+@dataclass
+class Statistics:
+    """What the fit knows about its rows before the solver starts."""
+    medians: list[float]
+    means: list[float]
+    scales: list[float]
+    counts: list[int]
+    classes: dict[int, int]
+    weights: dict[int, float]
+    n: int
+
+
+def class_counts(df: DataFrame, target_col: str) -> tuple[dict[int, int], dict[int, float]]:
+    """Rows and balanced weight n / (2 n_class) of class 0 and class 1."""
+    y = label_column(target_col, df)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(y == 1, 1).otherwise(0)).alias("n1")).first()
+    n, n1 = int(row["n"]), int(row["n1"] or 0)
+    classes = {0: n - n1, 1: n1}
+    return classes, {k: n / (2.0 * c) for k, c in classes.items() if c}
+
+
+def statistics(work: DataFrame, params: ScoreParams) -> Statistics:
+    """Medians, means and scales of the imputed features; class counts."""
+    cols = list(params.feature_cols)
+    medians, counts = exact_medians(work, cols, params.median_accuracy)
+    classes, weights = class_counts(work, params.target_col)
+    n = sum(classes.values())
+    if n == 0:
+        raise ValueError("no rows selected for the model (check the as-of date)")
+    empty = [c for c, k in zip(cols, counts) if k == 0]
+    if empty:
+        raise ValueError(f"feature columns with no values at all: {empty}")
+    imputed = [F.coalesce(F.col(c), F.lit(m)) for c, m in zip(cols, medians)]
+    row = work.agg(*[F.avg(v).alias(f"m{j}") for j, v in enumerate(imputed)],
+                   *[F.var_pop(v).alias(f"s{j}") for j, v in enumerate(imputed)]).first()
+    means = [float(row[f"m{j}"]) for j in range(len(cols))]
+    spread = [float(row[f"s{j}"] or 0.0) for j in range(len(cols))]
+    scales = [1.0 if is_constant(v, m, n) else math.sqrt(v) for v, m in zip(spread, means)]
+    return Statistics(medians, means, scales, counts, classes, weights, n)
+
+
 def fit(df: DataFrame, params: ScoreParams = ScoreParams()) -> FittedModel:
     """G1-G7 over the selected rows; returns the fitted constants."""
     cols = list(params.feature_cols)
@@ -198,45 +226,17 @@ def fit(df: DataFrame, params: ScoreParams = ScoreParams()) -> FittedModel:
     if params.target_col not in df.columns:
         raise ValueError(f"target column {params.target_col!r} is missing; "
                          "a model cannot be fitted without labels")
-    work = coerce_features(df, cols).withColumn("_y", label_column(params.target_col))
-    medians, counts = exact_medians(work, cols, params.median_accuracy)
-    if max(counts) == 0 and work.limit(1).count() == 0:
-        raise ValueError("no rows selected for the model (check the as-of date)")
-    empty = [c for c, n in zip(cols, counts) if n == 0]
-    if empty:
-        raise ValueError(f"feature columns with no values at all: {empty}")
-    imputed = [F.coalesce(F.col(c), F.lit(m)) for c, m in zip(cols, medians)]
-    stats = work.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("n1"),
-        *[F.avg(x).alias(f"m{j}") for j, x in enumerate(imputed)],
-        *[F.var_pop(x).alias(f"s{j}") for j, x in enumerate(imputed)],
-    ).first()
-    n, n1 = int(stats["n"]), int(stats["n1"] or 0)
-    n0 = n - n1
-    if n == 0:
-        raise ValueError("no rows selected for the model (check the as-of date)")
-    if n0 == 0 or n1 == 0:
+    work = coerce_features(df, cols)
+    st = statistics(work, params)
+    if not all(st.classes.values()):
         raise ValueError("the label has a single class; a classifier cannot be fitted")
-    means = [float(stats[f"m{j}"]) for j in range(len(cols))]
-    scales = []
-    for j in range(len(cols)):
-        v = float(stats[f"s{j}"] or 0.0)
-        scales.append(1.0 if is_constant(v, means[j], n) else math.sqrt(v))
-    weights = {0: n / (2.0 * n0), 1: n / (2.0 * n1)}
-    model = FittedModel(cols, medians, means, scales, [], 0.0, {0: n0, 1: n1}, weights, n)
-    z_cols = [model.z(j, F.col(c)).alias(f"_z{j}") for j, c in enumerate(cols)]
+    model = FittedModel(cols, st.medians, st.means, st.scales, [], 0.0, st.classes, st.weights, st.n)
+    y = label_column(params.target_col, work)
     train = work.select(
-        *z_cols, F.col("_y").cast("double").alias("_label"),
-        F.when(F.col("_y") == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])).alias("_w"))
-    # LBFGS makes one distributed pass per iteration; size the
-    # partitions to the data (ceil(n / rows_per_partition)) so that small
-    # inputs do not pay per-task overhead many times and large ones spread out.
-    parts = max(1, math.ceil(n / params.rows_per_partition))
-    if train.rdd.getNumPartitions() > parts:
-        train = train.coalesce(parts)
-    coef, icpt, iters = _lbfgs_fit(train, len(cols), n, params)
-    model.coefficients, model.intercept, model.iterations = coef, icpt, iters
+        *[model.z(j, F.col(c)).alias(f"_z{j}") for j, c in enumerate(cols)],
+        y.cast("double").alias("_label"),
+        F.when(y == 1, F.lit(st.weights[1])).otherwise(F.lit(st.weights[0])).alias("_w"))
+    model.coefficients, model.intercept, model.iterations = _lbfgs_fit(train, len(cols), st.n, params)
     return model
 
 

@@ -36,19 +36,18 @@ def shape(df: DataFrame, headers: str = "friendly", created_on: dt.datetime | No
 
 
 def to_table(report: DataFrame) -> DataFrame:
-    """I4 + I6: table column names and types.  The destination DDL's names
-    and types win (its 'CreatedOn' where the CSV says 'Createdon'); other
-    columns are typed by header keyword."""
-    ddl = {f.name.lower(): f for f in H.PREDICTIONS_TABLE_SCHEMA.fields}
+    """I4 + I6: the declared table schema gives names and types (its 'CreatedOn'
+    where the CSV says 'Createdon'); columns it does not declare keep their type
+    and get their I4 name."""
+    declared = {f.name.lower(): f for f in H.PREDICTIONS_TABLE_SCHEMA.fields}
     names = H.table_names(report.columns)
-    cols = []
-    for c, f in zip(report.columns, report.schema.fields):
-        target = ddl.get(c.lower())
-        if target is not None:
-            cols.append(F.col(f"`{c}`").cast(target.dataType).alias(target.name))
-        else:
-            cols.append(F.col(f"`{c}`").cast(H.keyword_type(c, f.dataType)).alias(names[c]))
-    return report.select(*cols)
+
+    def column(name: str):
+        known = declared.get(name.lower())
+        source = F.col(f"`{name}`")
+        return source.cast(known.dataType).alias(known.name) if known else source.alias(names[name])
+
+    return report.select(*map(column, report.columns))
 
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}

@@ -22,7 +22,7 @@ def _days_text(template: str, days: Column) -> Column:
 
 
 def business_rule(df: DataFrame, today, params: ScoreParams = ScoreParams()) -> DataFrame:
-    d = F.to_date(F.col(DATE_COL))
+    d = F.col(DATE_COL).try_cast("date")   # a bad date counts as missing
     since = F.when(d.isNull(), F.lit(None)).otherwise(
         F.greatest(F.datediff(F.lit(str(today)).cast("date"), d), F.lit(0)))
     grace = F.coalesce(F.col("in_renewal_grace").cast("double") != 0, F.lit(False))

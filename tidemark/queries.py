@@ -8,12 +8,14 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import snapshot as snap
 from tidemark.operators.spine import month_start, spine_months
-from tidemark.operators.timeline import daily_rollup, invoice_gap_rows, timeline_features
+from tidemark.operators.timeline import (
+    daily_rollup, invoice_gap_rows, probe_features, timeline_features,
+)
 from tidemark.params import CadenceParams, ScoreParams
 from tidemark.plans import churn, report
 from tidemark.plans import model as M
@@ -29,19 +31,28 @@ def _inputs(spark: SparkSession, sf_dir: str) -> snap.CleanInputs:
     return snap.load_clean_inputs(spark, sf_dir, P)
 
 
-def _timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _probes(spark: SparkSession, sf_dir: str, backorders: bool = False) -> DataFrame:
+    """Spine rows; the backorder feed is read only where its sums are wanted."""
     i = _inputs(spark, sf_dir)
-    return timeline_features(daily_rollup(i.invoices_signed, i.orders, i.backorders), P)
-
-
-def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snap.spine_features(_inputs(spark, sf_dir), P)
+    return probe_features(timeline_features(
+        daily_rollup(i.invoices_signed, i.orders, i.backorders if backorders else None), P))
 
 
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.derive(_probes(spark, sf_dir), P)
 
 
+#: digits at which floats of two math libraries are compared
+DIGITS = 9
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """``exp`` differs in the last bit between math libraries: the registered
+    queries round what depends on it; the product's columns are not rounded."""
+    return df.withColumns({c: F.round(c, DIGITS) for c in ("lateness_component", "severity_score")
+                           if c in df.columns})
+
+
 # ---- A: sources ---------------------------------------------------------
 
 def invoices_raw(spark, sf_dir):
@@ -91,11 +102,12 @@ def recency_asof(spark, sf_dir):
 
 
 def latest_terms_asof(spark, sf_dir):
-    return _probes(spark, sf_dir).select("customer_id", "t0", "last_order_date", "terms_cycle_days")
+    return _probes(spark, sf_dir).select(
+        "customer_id", "t0", "last_order_date", "pay_terms", "terms_cycle_days")
 
 
 def purchase_gaps(spark, sf_dir):
-    return invoice_gap_rows(_timeline(spark, sf_dir))
+    return invoice_gap_rows(timeline_features(daily_rollup(_inputs(spark, sf_dir).invoices_signed), P))
 
 
 def gaps_lookback(spark, sf_dir):
@@ -126,7 +138,7 @@ def orders_net_30d(spark, sf_dir):
 
 
 def backorder_qty_30d(spark, sf_dir):
-    return _probes(spark, sf_dir).select("customer_id", "t0", "backorder_qty_30d")
+    return _probes(spark, sf_dir, backorders=True).select("customer_id", "t0", "backorder_qty_30d")
 
 
 def order_mix_180d(spark, sf_dir):
@@ -182,7 +194,7 @@ def churn_labels(spark, sf_dir):
 
 
 def severity_components(spark, sf_dir):
-    return _snapshot(spark, sf_dir).select("customer_id", "t0", *snap.SEVERITY_COLUMNS)
+    return _rounded(_snapshot(spark, sf_dir)).select("customer_id", "t0", *snap.SEVERITY_COLUMNS)
 
 
 def reason_text(spark, sf_dir):
@@ -198,11 +210,11 @@ def reason_hard90(spark, sf_dir):
 
 
 def cadence_snapshot(spark, sf_dir):
-    return _snapshot(spark, sf_dir)
+    return _rounded(_snapshot(spark, sf_dir))
 
 
 def snapshot_ranked(spark, sf_dir):
-    return snap.ranked(_snapshot(spark, sf_dir))
+    return snap.ranked(_rounded(_snapshot(spark, sf_dir)))
 
 
 SNAPSHOT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -260,15 +272,15 @@ def _latest(spark, sf_dir):
 
 
 def features_top_n(spark, sf_dir):
-    return sel.top_n(_features(spark, sf_dir), TOP_N)
+    return _rounded(sel.top_n(_features(spark, sf_dir), TOP_N))
 
 
 def as_of_snapshot(spark, sf_dir):
-    return sel.model_rows(_snapshot(spark, sf_dir), S.target_col, RUN_DATE, as_of=AS_OF)
+    return _rounded(sel.model_rows(_snapshot(spark, sf_dir), S.target_col, RUN_DATE, as_of=AS_OF))
 
 
 def latest_snapshot_per_customer(spark, sf_dir):
-    return _latest(spark, sf_dir)
+    return _rounded(_latest(spark, sf_dir))
 
 
 def business_rule_today(spark, sf_dir):
@@ -287,35 +299,26 @@ def feature_medians(spark, sf_dir):
     cols = list(S.feature_cols)
     med, cnt = M.exact_medians(work, cols, S.median_accuracy)
     return spark.createDataFrame(
-        [(c, j, med[j], cnt[j]) for j, c in enumerate(cols)],
+        [(c, j, round(med[j], DIGITS), cnt[j]) for j, c in enumerate(cols)],
         "feature string, idx int, median double, n_values bigint")
 
 
 def feature_scaling(spark, sf_dir):
-    """Means and population stds of the imputed features, to 7 significant
-    digits (floating sums differ in the last bits between engines)."""
+    """The fit's own means and scales, to 7 significant digits (floating sums
+    differ in the last bits between engines)."""
     work, _ = _model_input(spark, sf_dir)
-    cols = list(S.feature_cols)
-    med, _cnt = M.exact_medians(work, cols, S.median_accuracy)
-    stacked = work.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(j).alias("idx"),
-                 F.coalesce(F.col(c), F.lit(med[j])).alias("x"))
-        for j, c in enumerate(cols)])).alias("s")).select("s.*")
-    st = stacked.groupBy("feature", "idx").agg(
-        F.avg("x").alias("m"), F.var_pop("x").alias("v"), F.count("x").alias("n"))
-    const = F.col("v") <= F.col("n") * F.lit(M.EPS) * F.col("v") \
-        + F.pow(F.col("n") * F.col("m") * F.lit(M.EPS), 2)
-    sig = lambda c: F.format_string("%.6e", c).cast("double")
-    return st.select("feature", "idx", sig(F.col("m")).alias("mean"),
-                     sig(F.when(const, F.lit(1.0)).otherwise(F.sqrt("v"))).alias("scale"))
+    st = M.statistics(work, S)
+    sig = lambda x: float(f"{x:.6e}")
+    return spark.createDataFrame(
+        [(c, j, sig(st.means[j]), sig(st.scales[j])) for j, c in enumerate(S.feature_cols)],
+        "feature string, idx int, mean double, scale double")
 
 
 def class_weights(spark, sf_dir):
-    work, _ = _model_input(spark, sf_dir)
-    counts = work.groupBy(M.label_column(S.target_col).alias("label")).count()
-    total = F.sum("count").over(Window.partitionBy())  # two rows: one per class
-    return counts.select("label", F.col("count").alias("n"),
-                         (total.cast("double") / (F.lit(2.0) * F.col("count"))).alias("weight"))
+    """The fit's own class counts and weights."""
+    classes, weights = M.class_counts(_latest(spark, sf_dir), S.target_col)
+    return spark.createDataFrame([(k, n, weights[k]) for k, n in classes.items() if n],
+                                 "label int, n bigint, weight double")
 
 
 def churn_scores(spark, sf_dir):

@@ -50,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):   # local-cluster has executors
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(for example on the cluster's distributed file system)")

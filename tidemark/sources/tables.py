@@ -1,18 +1,11 @@
 """Parquet table access.  Column lists are passed so that the scan's
 ReadSchema holds only what a query uses (Catalyst would prune anyway; being
-explicit keeps the contract visible).
-
-A table's schema is inferred once per process and then given to the reader:
-inference reads parquet footers in a Spark job, which on a cluster means
-touching every file's footer again for every query that reads the table.
-Input tables are treated as immutable for the life of the process."""
+explicit keeps the contract visible).  The schema comes from the table itself
+at every read, so a table rewritten in place is read as it is now."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
-
-_SCHEMAS: dict[str, StructType] = {}
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -21,11 +14,5 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
-    path = table_path(sf_dir, name)
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
