@@ -26,12 +26,16 @@ def scored_rows(snapshot: DataFrame, params: ScoreParams = ScoreParams(), run_da
     return M.score(work, model, params), model
 
 
+def explained_rows(scored: DataFrame, model: M.FittedModel, params: ScoreParams, today) -> DataFrame:
+    """Scored rows with both reasons and the business rule, report columns only."""
+    ruled = business_rule(X.explain(scored, model, params.target_col), today, params)
+    return ruled.select(*[c for c in R.PREDICTION_COLUMNS if c in ruled.columns])
+
+
 def predictions(snapshot: DataFrame, params: ScoreParams = ScoreParams(), run_date=None,
                 today=None, checkpoint: bool = True) -> DataFrame:
     scored, model = scored_rows(snapshot, params, run_date, checkpoint)
-    explained = X.explain(scored, model, params.target_col)
-    ruled = business_rule(explained, today or dt.date.today(), params)
-    return ruled.select(*[c for c in R.PREDICTION_COLUMNS if c in ruled.columns])
+    return explained_rows(scored, model, params, today or dt.date.today())
 
 
 def prediction_report(snapshot: DataFrame, params: ScoreParams = ScoreParams(), run_date=None,

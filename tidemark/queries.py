@@ -341,6 +341,58 @@ def prediction_table(spark, sf_dir):
     return report.to_table(prediction_report(spark, sf_dir))
 
 
+# ---- the same scoring code with a documented fixed model --------------------
+# A fitted model differs in its last digits from engine to engine; these queries
+# put fixed constants through the same score, explain, rule and report code, so
+# that SQL can compute every row.  The constants follow from a rule: scale and
+# mean by the kind of feature, coefficients -0.5 .. 0.5 by position.
+
+def fixed_model() -> M.FittedModel:
+    from tidemark.functions.phrases import MONEY_FEATURES, NEG_RISK
+    cols = list(S.feature_cols)
+    kind = lambda c: (60_000.0 if c in MONEY_FEATURES else 100.0 if c.endswith("_days")
+                      else 1.0 if c in NEG_RISK else 2.0)
+    scales = [kind(c) for c in cols]
+    means = [0.0 if c in NEG_RISK else k / 2 for c, k in zip(cols, scales)]
+    coefficients = [((7 * j) % 11 - 5) / 10 for j in range(len(cols))]
+    return M.FittedModel(cols, means, means, scales, coefficients, -0.25)
+
+
+def _fixed(spark, sf_dir):
+    rows = _rounded(_latest(spark, sf_dir))
+    scored = M.score(M.coerce_features(rows, list(S.feature_cols)), fixed_model(), S)
+    ruled = churn.explained_rows(scored, fixed_model(), S, TODAY)
+    return ruled.withColumn("predicted_churn_probability_90d",
+                            F.round("predicted_churn_probability_90d", DIGITS))
+
+
+def fixed_scores(spark, sf_dir):
+    return _fixed(spark, sf_dir).select("customer_id", "as_of_date", "predicted_churn_90d",
+                                        "predicted_churn_probability_90d", "predicted_churn_probability_90d_pct")
+
+
+def fixed_explanations(spark, sf_dir):
+    return _fixed(spark, sf_dir).select("customer_id", "predicted_churn_90d", "predicted_churn_reason_90d",
+                                        "actual_churned_90d", "actual_churn_reason_90d")
+
+
+def _fixed_report(spark, sf_dir):
+    return report.shape(_fixed(spark, sf_dir), "friendly", CREATED_ON)
+
+
+def _stamp_text(df, name):
+    """The stamp as text: engines disagree on how a zone is attached to it."""
+    return df.withColumn(name, F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
+
+
+def fixed_report(spark, sf_dir):
+    return _stamp_text(_fixed_report(spark, sf_dir), "Createdon")
+
+
+def fixed_table(spark, sf_dir):
+    return _stamp_text(report.to_table(_fixed_report(spark, sf_dir)), "CreatedOn")
+
+
 SCORING_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_top_n": features_top_n,
     "as_of_snapshot": as_of_snapshot,
@@ -353,6 +405,10 @@ SCORING_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "churn_explanations": churn_explanations,
     "prediction_report": prediction_report,
     "prediction_table": prediction_table,
+    "fixed_scores": fixed_scores,
+    "fixed_explanations": fixed_explanations,
+    "fixed_report": fixed_report,
+    "fixed_table": fixed_table,
 }
 
 ALL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
