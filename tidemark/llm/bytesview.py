@@ -23,7 +23,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 1 << 21):
+def slices(batch: pa.RecordBatch, column: str, size: int = 1 << 20):
     """Parts of a batch whose values in ``column`` take about ``size`` bytes."""
     data = batch.column(column)
     ends = np.cumsum(pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False))
@@ -83,7 +83,7 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 
 
 def words(body: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: np.ndarray,
-          piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+          piece: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every word of a batch, in text order.
 
     ``lower`` maps bytes first; ``is_word`` says which bytes make words.  About

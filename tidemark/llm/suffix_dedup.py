@@ -47,7 +47,7 @@ from tidemark.llm.common import materialise, read
 LENGTH = 100
 GRAM = 24
 SPAN = LENGTH - GRAM + 1        # hash positions inside one string
-PIECE = 1 << 21                 # bytes hashed at once
+PIECE = 1 << 18                 # bytes hashed at once
 HOT = 32                        # distinct phrases of a trigger in one batch
 CLOSE = 512                     # phrases of a trigger that one task compares
 
