@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesview import slices
+from tidemark.llm.bytesview import slices, tidy
 from tidemark.llm.common import read
 
 CHUNK = 32_768
@@ -68,6 +68,7 @@ def _decoded(enc, lists: pa.ListArray) -> pa.Array:
 def _with_ids(df: DataFrame, column: str, path: str, pattern: str, back: bool = False) -> DataFrame:
     """``df`` with ``ids`` (array<int>) in place of the text ``column``; with
     ``back`` the ids are decoded in the same worker into ``decoded``."""
+    @tidy
     def run(batches):
         enc = encoding(path, pattern)
         for batch in (part for whole in batches for part in slices(whole, column)):
@@ -89,6 +90,7 @@ def _with_ids(df: DataFrame, column: str, path: str, pattern: str, back: bool =
 def _boundaries(chunks: DataFrame, pattern: str) -> DataFrame:
     """(_row, chunk, heads, tails): pre-token boundaries of each chunk inside
     its overlap with the chunk before and with the chunk after."""
+    @tidy
     def run(batches):
         find = _pattern(pattern).finditer
         for batch in batches:
@@ -159,6 +161,7 @@ def decode(df: DataFrame, path: str | None = None, pattern: str | None = None) -
     if path is None:
         path, pattern = default_vocabulary()
 
+    @tidy
     def run(batches):
         enc = encoding(path, pattern)
         for batch in (whole.slice(i, 256) for whole in batches for i in range(0, len(whole), 256)):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesview import LOWER, flat, prefix_hash, range_hash, words
+from tidemark.llm.bytesview import LOWER, flat, prefix_hash, range_hash, tidy, words
 from tidemark.llm.common import lower_ascii, materialise, read
 
 WINDOW = 10
@@ -94,6 +94,7 @@ def blocks(benchmark: DataFrame):
 def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     """(every column but the text, n_words, term array<int>, place array<int>): the postings of
     ``terms`` in each document, by place; stored in the shared folder."""
+    @tidy
     def run(batches):
         for batch in batches:
             body, offsets = flat(batch.column("text"))
@@ -118,6 +119,7 @@ def build_index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
 
 def postings_count(index: DataFrame, n_terms: int) -> np.ndarray:
     """Postings of each term over the whole index (at most n_terms rows come back)."""
+    @tidy
     def run(batches):
         total = np.zeros(n_terms, np.int64)
         for batch in batches:
@@ -197,6 +199,7 @@ def search(index: DataFrame, block: Block, counts: np.ndarray, slack: int = 5) -
         ends = np.concatenate([[0], np.cumsum(np.bincount(pair[:, 0], minlength=n))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[pair[:, 1]], pa.string()))
 
+    @tidy
     def run(batches):
         for batch in batches:
             term_col, place_col = batch.column("term"), batch.column("place")

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesview import LOWER, MIX, flat, mix, slices, words
+from tidemark.llm.bytesview import LOWER, MIX, flat, mix, slices, tidy, words
 from tidemark.llm.common import materialise, read
 from tidemark.llm.components import connected_components
 
@@ -98,6 +98,7 @@ def _needed(n):
     return n // 6 + 1
 
 
+@tidy
 def first_pass(batches):
     """mapInArrow: a row per document (n, s1, s2, shared: the leading shingles
     that other documents of the batch have), a row per other leading shingle,
@@ -147,6 +148,7 @@ def _vertices(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return known.select("doc_id", "n", "s1", "s2"), materialise(sets, "sets")
 
 
+@tidy
 def second_pass(batches):
     """mapInArrow: (doc_id, s1, s2, h): all shingles of each document."""
     for batch in batches:
@@ -191,6 +193,7 @@ def _prefix(misses: int, n_rare: int, n_frequent: int, paired: bool) -> tuple[in
     return rare, min(n_frequent, misses + 1 - rare + (1 if paired else 0))
 
 
+@tidy
 def keys(batches):
     """mapInArrow: index rows (key, v, n, place, short) of each set.
 
@@ -298,6 +301,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     named = (sets.join(linked, ["s1", "s2"], "left")
              .filter("copies > 1 or component is not null")
              .select("s1", "s2", F.coalesce("component", "rep").alias("component")))
+    # as a table of its own, so that a hot set of the join can be split at run time
+    named = materialise(named, "components")
     return known.join(named, ["s1", "s2"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"), "s1", "s2")

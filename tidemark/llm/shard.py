@@ -90,7 +90,8 @@ def _pull(state: DataFrame, capacity: int) -> DataFrame:
             .filter("n > 1")
             .select("link", F.transform(F.slice("held", F.lit(1), F.greatest(
                 F.ceil(F.col("n") / F.lit(capacity)).cast("int"), F.lit(1))), lambda h: h["shard"]).alias("lead")))
-    pulled = state.join(lead, "link", "left")
+    # as a table of its own, so that the join's hot links can be split at run time
+    pulled = state.join(materialise(lead, "lead"), "link", "left")
     pick = F.pmod(F.xxhash64("row"), F.size("lead")).cast("int")
     return pulled.withColumn("wish", F.when(
         F.col("lead").isNull() | F.array_contains("lead", F.col("shard")), F.col("shard"))

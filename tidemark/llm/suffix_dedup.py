@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesview import MIX, flat, mix, prefix_hash, range_hash
+from tidemark.llm.bytesview import MIX, flat, mix, prefix_hash, range_hash, tidy
 from tidemark.llm.common import materialise, read
 
 LENGTH = 100
@@ -167,6 +167,7 @@ def _place(batch, row, start):
     return batch.column("doc_id").take(pa.array(row)), pa.array((crc[row] << 32) | start)
 
 
+@tidy
 def parse_phrases(batches):
     """mapInArrow: documents (doc_id, crc, text) to phrase rows.
 
@@ -245,6 +246,7 @@ def _opened(batch):
         yield d, body[offsets[d]:offsets[d + 1]], l[mine], n[mine], a[mine]
 
 
+@tidy
 def suffixes(batches):
     """mapInArrow: the suffixes of hot phrases, one row each."""
     names = ["a", "g", "salt", "doc_id", "place", "dup"]
@@ -276,6 +278,7 @@ def suffixes(batches):
             ids, place, pa.array(dup)], names)
 
 
+@tidy
 def contexts(batches):
     """mapInArrow: the bytes of phrases that few others share a trigger with."""
     names = ["a", "doc_id", "crc", "l", "bytes"]
@@ -313,6 +316,7 @@ def _compare(table: pa.RecordBatch) -> pa.RecordBatch:
         [ids, crc, pa.array(start, pa.int32()), pa.array(count, pa.int32())], ["doc_id", "crc", "l", "n"])
 
 
+@tidy
 def compare(batches):
     """mapInArrow over rows sorted by trigger; a group may span batches."""
     held = None
@@ -408,7 +412,7 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     kind = "string" if as_text else "binary"
     return joined.mapInArrow(
-        lambda batches: _cut(batches, as_text),
+        tidy(lambda batches: _cut(batches, as_text)),
         f"{rest}, spans array<struct<start:int,end:int>>, n_bytes long, kept {kind}")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import default_vocabulary, encoding
-from tidemark.llm.bytesview import MIX, mix, slices
+from tidemark.llm.bytesview import MIX, mix, slices, tidy
 from tidemark.llm.common import materialise, read, shared_path
 
 LENGTH = 256
@@ -67,6 +67,7 @@ def permute(number: np.ndarray, size: int, key: int) -> np.ndarray:
 
 def sequences(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, seq, ids binary): uint16 ids, one row per sequence."""
+    @tidy
     def run(batches):
         enc = encoding(path, pattern)
         for whole in batches:
@@ -126,6 +127,7 @@ def write_shards(docs: DataFrame, path: str, key: int = 1, vocabulary: tuple[str
     def slot(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(), total, key))
 
+    @tidy
     def write(batches):
         import uuid
         held = None
@@ -180,6 +182,7 @@ def read_slots(target: Shards, start: int = 0, count: int | None = None) -> np.n
 def read_back(spark: SparkSession, target: Shards, written: DataFrame) -> DataFrame:
     """One row per record of the files: (doc_id, seq, slot, shard, place,
     n_tokens, ids_crc32), read file by file in parallel."""
+    @tidy
     def run(batches):
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
