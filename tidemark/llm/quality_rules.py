@@ -12,7 +12,8 @@ strictest one whose false-rejection rate is at most ``alpha`` with confidence
 cutoff, the exact binomial p-value of "rate > alpha" is P(Bin(n, alpha) <= k);
 Bonferroni's correction divides ``delta`` by the number of (stratum, rule,
 cutoff) tests.  A stratum with too few labelled documents to prove any cutoff
-gets none, so it rejects nothing beyond the base rules.
+gets none, so it rejects nothing beyond the base rules.  The bound holds for each
+rule; all rules of a stratum together reject at most len(RULES) * alpha.
 
 Defined results: null text has no words and fails the base; an empty table
 gives no rows; null strata form one stratum; repeated rows are measured row by
