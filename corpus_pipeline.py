@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, decontaminate, jaccard_join, kneser_ney, suffix_dedup
 from tidemark.llm.common import materialise, on_workers, read
 
+#: near duplicates: shingles of so many words, and their similarity in percent
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 #: no SQL: the model, the components and the byte-level BPE are beyond it
 ORACLE_SQL = None
 
@@ -43,7 +46,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of links: the one with the smallest doc_id."""
     on_workers(spark)
-    groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"))
+    groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"), NEAR_SHINGLE, NEAR_PERCENT)
     stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_id")).distinct()
     kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
