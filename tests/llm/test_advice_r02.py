@@ -75,3 +75,22 @@ def test_pipeline_near_duplicates_equal_brute_force(llm):
     pairs = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     first = {top for _, top in components(pairs, 5, 80).values()}
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(llm, docs, sf).collect()} == first
+
+
+def test_null_ids_link_and_bridge(llm, docs_of):
+    """A null-id near copy, two texts linked only through a null-id one, and
+    repeated rows of a linked set."""
+    t = [f"t{i}" for i in range(60)]
+    bridge = [f"b{i}" for i in range(70)]
+    docs = docs_of([
+        (1, " ".join(t)), (None, " ".join(t + ["x"])),
+        (11, " ".join(bridge[5:])), (None, " ".join(bridge)), (None, " ".join(bridge)), (12, " ".join(bridge[:-5])),
+        (21, "a " + " ".join(t[::-1])), (21, "a " + " ".join(t[::-1])), (22, "b " + " ".join(t[::-1])),
+        (None, "alone " * 30)])
+    rows = jaccard_join.jaccard_components(docs).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in rows) == [
+        ("1", "1"), ("11", "11"), ("12", "11"), ("21", "21"), ("21", "21"), ("22", "21"),
+        ("None", "1"), ("None", "11"), ("None", "11"), ("None", "None")]
+    # rows without a doc_id share a verdict, so without the one that stands alone
+    left = corpus_pipeline.near_duplicates(llm, docs.filter("text not like 'alone%'"), SF_SMALL)
+    assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "11", "21"]

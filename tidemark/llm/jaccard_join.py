@@ -195,14 +195,22 @@ def second_pass(link: Link):
 
 
 def _candidates(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
-    """(v, s1, s2, n, h): the sets that may link with another set."""
+    """(v, s1, s2, n, h): the sets that may link with another set, each once.
+
+    A set whose rows all have a null doc_id has rep null: rows without a doc_id
+    are all read then, not joined by it.
+    """
     may = sets.filter((F.col("n") >= link.small) & (F.col("shared") >= F.floor(F.col("n") / 6) + 1))
     may = may.select("s1", "s2", "n", "rep")
-    ids = may.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    ids = may.select(F.col("rep").alias("doc_id")).filter("doc_id is not null").distinct()
+    rows = docs.select("doc_id", "text")
+    texts = rows.join(ids, "doc_id", "left_semi")
+    if not may.filter("rep is null").isEmpty():
+        texts = texts.unionByName(rows.filter("doc_id is null"))
     found = texts.mapInArrow(second_pass(link), "doc_id long, s1 long, s2 long, h array<long>")
     return materialise(
-        found.join(may.withColumnRenamed("rep", "doc_id"), ["doc_id", "s1", "s2"])
+        found.join(may, ["s1", "s2"]).filter(F.col("doc_id").eqNullSafe(F.col("rep")))
+        .dropDuplicates(["s1", "s2"])     # rows that share a doc_id and a set
         .select(F.monotonically_increasing_id().alias("v"), "s1", "s2", "n", "h"), "candidates")
 
 
