@@ -5,11 +5,13 @@ import re
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
-from tidemark.llm import jaccard_join
+from tidemark.llm import jaccard_join, kneser_ney
 from tidemark.llm.common import read
+from tidemark.llm.queries import QUERIES
 from test_pairs import LOWER, near_copies
 
 
@@ -94,3 +96,32 @@ def test_null_ids_link_and_bridge(llm, docs_of):
     # rows without a doc_id share a verdict, so without the one that stands alone
     left = corpus_pipeline.near_duplicates(llm, docs.filter("text not like 'alone%'"), SF_SMALL)
     assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "11", "21"]
+
+
+def test_classifier_judges_every_language_of_a_small_table(llm):
+    """At sf0.01 three of four languages have under 150 trusted documents."""
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op3_quality_classifier"](llm, sf).localCheckpoint()
+    assert got.filter("threshold is null").isEmpty()
+    few = got.filter("lang <> 'en'").join(read(llm, sf, "labels"), "doc_id").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept"))
+    rate = {r.quality: r.kept for r in few.collect()}
+    assert rate[1] > 0.97 and rate[0] < 0.5
+
+
+def test_classifier_judges_rare_and_unlabelled_languages(llm):
+    docs = read(llm, SF_SMALL, "documents").select("doc_id", "lang", "text")
+    labels = read(llm, SF_SMALL, "labels")
+    one = docs.filter("lang = 'fr'").join(labels.filter("quality = 1 and toxic = 0"), "doc_id").agg(F.min("doc_id")).first()[0]
+    none = docs.filter("lang = 'de'").select("doc_id")
+    labels = labels.join(none, "doc_id", "left_anti").join(
+        docs.filter(f"lang = 'fr' and doc_id <> {one}").select("doc_id"), "doc_id", "left_anti")
+    model, limits = kneser_ney.fit(docs, labels)
+    scored = kneser_ney.judge(kneser_ney.score(docs, model), limits)
+    assert scored.filter("threshold is null").isEmpty()
+    assert {r.lang for r in limits.collect()} == {r.lang for r in docs.select("lang").distinct().collect()}
+    junk = docs.sparkSession.createDataFrame([(1, "de", "\x01~^}{|" * 60), (2, "fr", "\x01~^}{|" * 60)],
+                                             "doc_id long, lang string, text string")
+    assert not any(r.kept for r in kneser_ney.judge(kneser_ney.score(junk, model), limits).collect())
+    model, limits = kneser_ney.fit(docs, labels.limit(0))
+    assert kneser_ney.judge(kneser_ney.score(junk, model), limits).filter("not kept").isEmpty()
