@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
-from tidemark.llm import jaccard_join, kneser_ney
+from tidemark.llm import decontaminate, jaccard_join, kneser_ney
 from tidemark.llm.common import read
 from tidemark.llm.queries import QUERIES
 from test_pairs import LOWER, near_copies
@@ -125,3 +125,12 @@ def test_classifier_judges_rare_and_unlabelled_languages(llm):
     assert not any(r.kept for r in kneser_ney.judge(kneser_ney.score(junk, model), limits).collect())
     model, limits = kneser_ney.fit(docs, labels.limit(0))
     assert kneser_ney.judge(kneser_ney.score(junk, model), limits).filter("not kept").isEmpty()
+
+
+def test_benchmark_items_without_an_id_hit(llm, docs_of):
+    item = "one two three four five six seven eight nine ten"
+    docs = docs_of([(1, "x " + item), (2, "clean"), (3, item + " eleven")]).select("doc_id", "text")
+    items = llm.createDataFrame([(None, item), (None, "three four"), (5, item + " eleven")], "item_id long, text string")
+    got = {r.doc_id: (len(r.hits), list(r["items"])) for r in decontaminate.find_benchmark(docs, items).collect()}
+    # the first window of item 5 is the whole other item
+    assert got == {1: (10, ["5", "null"]), 2: (0, []), 3: (11, ["5", "null"])}

@@ -16,7 +16,8 @@ what a task holds of it (terms and windows of one block) is bounded by that.
 The documents are never shuffled, and no document is joined with an item.
 
 Defined results: null text has no words; an item without words has no window;
-items that share an item_id count as one; repeated documents are matched row
+items that share an item_id count as one, and those with a null item_id as one
+item named "null"; repeated documents are matched row
 by row; an empty benchmark hits nothing; an empty table gives no rows; other
 columns are kept by ``remove_hits`` and ignored here.
 """
@@ -72,8 +73,8 @@ def _hash(word: str) -> int:
 def windows(benchmark: DataFrame) -> DataFrame:
     """(item_id string, words) for every window of every item."""
     w = F.filter(F.split(lower_ascii(F.coalesce("text", F.lit(""))), GAP), lambda x: x != "")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), w.alias("w")).filter(
-        (F.size("w") > 0) & F.col("item_id").isNotNull())
+    name = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
+    items = benchmark.select(name.alias("item_id"), w.alias("w")).filter(F.size("w") > 0)
     return items.select("item_id", F.explode(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("w") - (WINDOW - 1), F.lit(1))),
         lambda i: F.slice("w", i, WINDOW))).alias("words")).distinct()
