@@ -6,6 +6,7 @@ from functools import wraps
 
 from tidemark.llm.bpe import op7_byte_bpe
 from tidemark.llm.chat_format import op6_chat_format
+from tidemark.llm.collocations import op12_collocations
 from tidemark.llm.common import on_workers
 from tidemark.llm.decontaminate import op9_decontaminate
 from tidemark.llm.jaccard_join import op1_jaccard_join
@@ -37,5 +38,6 @@ QUERIES = {name: _query(run) for name, run in {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_rules": op10_quality_rules,
+    "op12_collocations": op12_collocations,
     "op13_sentence_pieces": op13_sentence_pieces,
 }.items()}

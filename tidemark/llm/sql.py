@@ -96,6 +96,44 @@ FROM (SELECT source, lang, 'bytes-v1' AS tokenizer, bytes AS tokens FROM counted
 GROUP BY source, lang, tokenizer
 """
 
+#: every n-gram counted by brute force; 128-bit products
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
+), grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM words JOIN range(1, 6) AS r(k) ON len(ws) >= k)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k > 1 AND f >= 100
+), kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates x WHERE x.lang = c.lang AND x.k > c.k AND 100 * x.a >= 100 * c.a
+      AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(ws[:j], ' ') AS first, array_to_string(ws[j + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)
+), valued AS (
+  SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r, n,
+    CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.phrase = first
+    JOIN f AS y ON y.lang = cuts.lang AND y.phrase = rest JOIN totals ON totals.lang = cuts.lang
+), best AS (
+  SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
 
 def _quality_rules() -> str:
     from tidemark.llm.quality_rules import GRID, Risk
@@ -109,4 +147,5 @@ SQL = {
     "op6_chat_format": CHAT_FORMAT,
     "op8_token_counts": TOKEN_COUNTS,
     "op10_quality_rules": _quality_rules(),
+    "op12_collocations": COLLOCATIONS,
 }
