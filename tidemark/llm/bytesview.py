@@ -135,3 +135,26 @@ def words(body: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: np.
 #: A-Z to a-z, every other byte unchanged
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
+
+
+def coded_words(text: pa.Array, classes: np.ndarray, gaps: bytes):
+    """(words, start, body, ends) of a string column: ``classes`` maps its bytes
+    to ``body``, bytes of ``gaps`` then lie between words; every word of every
+    row in order, dictionary-encoded, with its start in ``body``."""
+    body, ends = flat(text)
+    body = classes[body]
+    inside = np.ones(len(body), bool)
+    for gap in gaps:
+        inside &= body != gap
+    edge = ends[ends < len(body)]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    first[edge] = inside[edge]
+    before = ends[ends > 0] - 1
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    last[before] = inside[before]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(body[inside]))
+    return words.dictionary_encode(), start, body, ends

@@ -38,7 +38,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytesview import LOWER, MIX, flat, mix, prefix_hash, range_hash, slices, tidy
+from tidemark.llm.bytesview import (
+    LOWER, MIX, coded_words, flat, mix, prefix_hash, range_hash, slices, tidy,
+)
 from tidemark.llm.common import materialise, read
 
 SLICE = 1 << 22            # bytes of text counted at once
@@ -58,23 +60,10 @@ _CLASS[list(ENDS)] = 0x0A
 
 def _words(text: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """(words, piece of each word) of all texts, in order."""
-    body, ends = flat(text)
-    body = _CLASS[body]
-    inside = (body != 0x20) & (body != 0x0A)
-    edge = ends[ends < len(body)]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    first[edge] = inside[edge]
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
-    last[ends[ends > 0] - 1] = inside[ends[ends > 0] - 1]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    words, start, body, ends = coded_words(text, _CLASS, b" \n")
     breaks = body == 0x0A
-    breaks[edge] = True
-    piece = np.cumsum(breaks)[start]
-    offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
-    words = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(body[inside]))
-    return words.dictionary_encode(), piece
+    breaks[ends[ends < len(body)]] = True
+    return words, np.cumsum(breaks)[start]
 
 
 def _by_language(batches):

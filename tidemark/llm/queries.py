@@ -11,6 +11,7 @@ from tidemark.llm.common import on_workers
 from tidemark.llm.decontaminate import op9_decontaminate
 from tidemark.llm.jaccard_join import op1_jaccard_join
 from tidemark.llm.kneser_ney import op3_quality_classifier
+from tidemark.llm.lexical_search import op11_lexical_search
 from tidemark.llm.quality_rules import op10_quality_rules
 from tidemark.llm.sentence_pieces import op13_sentence_pieces
 from tidemark.llm.shard import op5_shard
@@ -38,6 +39,7 @@ QUERIES = {name: _query(run) for name, run in {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lexical_search": op11_lexical_search,
     "op12_collocations": op12_collocations,
     "op13_sentence_pieces": op13_sentence_pieces,
 }.items()}

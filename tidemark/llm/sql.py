@@ -134,6 +134,37 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM best QUALIFY rank <= 2000
 """
 
+#: every document scored for every item
+LEXICAL_SEARCH = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), d AS (
+  SELECT doc_id, ws, len(ws) AS n FROM split WHERE len(ws) > 0
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM d) GROUP BY ALL
+), q AS (
+  SELECT item_id, term, count(*) AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), totals
+), m AS (
+  SELECT doc_id, 100 - 75 + ((75 * n * docs) // words) AS m FROM d, totals
+), scores AS (
+  SELECT item_id, tf.doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN tf ON tf.term = q.term JOIN w ON w.term = q.term JOIN m ON m.doc_id = tf.doc_id
+  GROUP BY item_id, tf.doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+  doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 
 def _quality_rules() -> str:
     from tidemark.llm.quality_rules import GRID, Risk
@@ -147,5 +178,6 @@ SQL = {
     "op6_chat_format": CHAT_FORMAT,
     "op8_token_counts": TOKEN_COUNTS,
     "op10_quality_rules": _quality_rules(),
+    "op11_lexical_search": LEXICAL_SEARCH,
     "op12_collocations": COLLOCATIONS,
 }
