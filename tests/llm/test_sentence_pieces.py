@@ -18,7 +18,7 @@ def awkward_texts(n=60):
     return texts + [None, "", " ", "  ", "a ", " a", "a  ", "▁", "▁▁a", "a▁", " " * 40, "b" * 3000]
 
 
-@pytest.mark.parametrize("size", [1, 300, 1 << 21])
+@pytest.mark.parametrize("size", [1, 300, S.BLOCK])
 def test_ids_and_texts_equal_the_library(docs_of, size):
     texts = awkward_texts()
     rows = S.encode(docs_of(list(enumerate(texts))), back=True, size=size).collect()
@@ -53,13 +53,12 @@ def test_repeated_rows_empty_table_and_decode(docs_of):
     assert {r.doc_id: r.decoded for r in back} == {1: "  two  words  x", 2: ""}
 
 
-def test_a_task_table_that_starts_anew_gives_the_same_ids(llm, docs_of):
-    df = llm.createDataFrame([("b", i, [f"w{i % 7}", "", f"v{i}"]) for i in range(50)],
-                             "block string, bucket int, words array<string>").coalesce(1)
-    for r in S.segment(df, S.default_model(), table_size=4).collect():
-        words = [f"w{r.bucket % 7}", "", f"v{r.bucket}"]
-        want = [SP.encode(w) or [SP.piece_to_id(S.MARK)] for w in words]
-        assert r.lengths == [len(x) for x in want] and r.ids == sum(want, [])
+def test_a_table_that_starts_anew_gives_the_same_ids():
+    table = S.WordTable(S.default_model(), 4)
+    for i in range(50):
+        words = [f"w{i % 7}", "", f"v{i}", " x"]
+        assert table.lookup(words) == [SP.encode(w) or [SP.piece_to_id(S.MARK)] for w in words]
+        assert len(table.ids) <= 4
 
 
 def test_a_model_whose_pieces_cross_markers_is_refused(tmp_path):

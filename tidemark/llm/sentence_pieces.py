@@ -6,8 +6,8 @@ given model), so nothing is merged across the start of a *marked word*: a run of
 markers and the characters up to the next marker.  The ids of a text are the
 ids of its marked words in order.
 
-1. *Cut.*  About ``BLOCK`` bytes of texts make a block.  Its distinct words get
-   numbers; each text becomes the sequence of its word numbers.
+1. *Cut.*  About ``BLOCK`` bytes of texts make a block, one row.  Its distinct words
+   get numbers; each text becomes the sequence of its word numbers (compressed).
 2. *Segment.*  The distinct words of every block go to the task of their hash
    bucket, which looks each distinct word up in its table and segments it when
    it is new (a table above ``TABLE`` words starts anew, so memory is bounded).
@@ -33,10 +33,12 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +48,7 @@ from tidemark.llm.bytesview import flat, prefix_hash, range_hash, slices, tidy
 from tidemark.llm.common import read
 
 MARK = "▁"
-BLOCK = 1 << 21
+BLOCK = 1 << 23
 TABLE = 1 << 19
 
 
@@ -114,6 +116,14 @@ def _numbered(text: pa.Array, buckets: int, place: str):
     return f"{place}-{name.hexdigest()}", counts, numbers, table, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
+def _packed(*parts) -> bytes:
+    return zstandard.ZstdCompressor().compress(b"".join(bytes(memoryview(p)) for p in parts))
+
+
+def _unpacked(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 def _blocks(batches, size: int, buckets: int):
     number, place = 0, TaskContext.get().partitionId()
     for batch in (part for whole in batches for part in slices(whole, "t", size)):
@@ -122,91 +132,115 @@ def _blocks(batches, size: int, buckets: int):
 
 
 def _words(docs: DataFrame, buckets: int, size: int) -> DataFrame:
-    """(block, bucket, words): the distinct words of every block, by bucket."""
+    """(block, bucket, words): the distinct words of every block, by bucket,
+    joined by markers."""
     @tidy
     def run(batches):
         for _, (name, _, _, table, first) in _blocks(batches, size, buckets):
             used = np.flatnonzero(np.diff(first))
             ends = np.append(first[used], len(table)).astype(np.int32)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), table), MARK)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(used), pa.string()), pa.array(used.astype(np.int32)),
-                 pa.ListArray.from_arrays(pa.array(ends), table)], ["block", "bucket", "words"])
+                 pa.array([_packed(x.as_buffer()) for x in joined], pa.binary())], ["block", "bucket", "words"])
 
-    return docs.mapInArrow(run, "block string, bucket int, words array<string>")
+    return docs.mapInArrow(run, "block string, bucket int, words binary")
 
 
 def _numbers(docs: DataFrame, buckets: int, size: int) -> DataFrame:
-    """(block, row, numbers): every text as the numbers of its words."""
+    """(block, rows, counts, numbers, width): the texts of every block as the
+    numbers of their words."""
     @tidy
     def run(batches):
         for batch, (name, counts, numbers, _, _) in _blocks(batches, size, buckets):
-            ends = np.concatenate([[0], np.cumsum(counts)]) * numbers.itemsize
-            body = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(counts),
-                [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(numbers)]).cast(pa.binary())
+            whole = pa.array([0, len(batch)], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(batch), pa.string()), batch.column("row"), body,
-                 pa.array(np.full(len(batch), numbers.itemsize, np.int32))],
-                ["block", "row", "numbers", "width"])
+                [pa.array([name], pa.string()), pa.ListArray.from_arrays(whole, batch.column("row")),
+                 pa.ListArray.from_arrays(whole, pa.array(counts.astype(np.int64))),
+                 pa.array([_packed(numbers)], pa.binary()), pa.array([numbers.itemsize], pa.int32())],
+                ["block", "rows", "counts", "numbers", "width"])
 
     return docs.mapInArrow(run, T.StructType([
-        T.StructField("block", T.StringType()), docs.schema["row"],
+        T.StructField("block", T.StringType()), T.StructField("rows", T.ArrayType(docs.schema["row"].dataType)),
+        T.StructField("counts", T.ArrayType(T.LongType())),
         T.StructField("numbers", T.BinaryType()), T.StructField("width", T.IntegerType())]))
 
 
+def _gather(values: np.ndarray, length: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, ends) of the lists ``picks``; list i has ``length[i]`` values."""
+    first = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    size = length[picks].astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return values[np.repeat(first[picks] - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+class WordTable:
+    """Ids of distinct words, each segmented once; starts anew above ``size``."""
+
+    def __init__(self, path: str, size: int):
+        self.sp, self.size = processor(path), size
+        self.number: dict[str, int] = {}
+        self.ids: list[list[int]] = []
+
+    def lookup(self, words: list[str]) -> list[list[int]]:
+        new = [w for w in words if w not in self.number]
+        if len(self.ids) + len(new) > self.size:
+            self.number, self.ids, new = {}, [], words
+        self.number.update(zip(new, range(len(self.ids), len(self.ids) + len(new))))
+        self.ids += self.sp.encode(new, num_threads=1)
+        if "" in self.number:           # a marker with nothing behind it
+            self.ids[self.number[""]] = [self.sp.piece_to_id(MARK)]
+        return [self.ids[self.number[w]] for w in words]
+
+
 def segment(words: DataFrame, path: str, table_size: int = TABLE) -> DataFrame:
-    """(block, bucket, lengths, ids): the ids of the words of each row, in order."""
+    """(block, bucket, n, ids): the ids of the words of each row: ``n`` lengths,
+    then the ids, four bytes each."""
     @tidy
     def run(batches):
-        sp = processor(path)
-        alone = [sp.piece_to_id(MARK)]          # a marker with nothing behind it
-        table: dict[str, list[int]] = {}
-        for batch in batches:
-            for block, bucket, listed in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                new = [w for w in listed if w not in table]
-                if len(table) + len(new) > table_size:
-                    table, new = {}, listed
-                table.update(zip(new, sp.encode(new, num_threads=1)))
-                if "" in table:
-                    table[""] = alone
-                found = [table[w] for w in listed]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.string()), pa.array([bucket], pa.int32()),
-                     pa.array([[len(x) for x in found]], pa.list_(pa.int32())),
-                     pa.array([[i for x in found for i in x]], pa.list_(pa.int32()))],
-                    ["block", "bucket", "lengths", "ids"])
-
-    return words.mapInArrow(run, "block string, bucket int, lengths array<int>, ids array<int>")
+        table = WordTable(path, table_size)
+        for batch in (whole.slice(i, 32) for whole in batches for i in range(0, len(whole), 32)):
+            lists = pc.split_pattern(pa.array([_unpacked(x.as_buffer()) for x in batch.column("words")],
+                                              pa.binary()).cast(pa.string()), MARK)
+            coded = lists.flatten().dictionary_encode()
+            ids = table.lookup(coded.dictionary.to_pylist())
+            length = np.array([len(x) for x in ids], np.int32)
+            values = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
+            picks, n = coded.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
+            found, ends = _gather(values, length, picks)
+            at = np.concatenate([[0], np.cumsum(n)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("bucket"), pa.array(n.astype(np.int32)),
+                 pa.array([_packed(length[picks[a:b]], found[ends[a]:ends[b]]) for a, b in zip(at, at[1:])], pa.binary())],
+                ["block", "bucket", "n", "ids"])
+
+    return words.mapInArrow(run, "block string, bucket int, n int, ids binary")
 
 
 def _joined(rows: DataFrame, ids: DataFrame, path: str, back: bool) -> DataFrame:
     """(row, ids[, decoded]): the ids of the words of each block at their positions."""
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         found = found.sort_by("bucket")
-        flatly = lambda name: (found[name].combine_chunks().flatten()
-                               .to_numpy(zero_copy_only=False))
-        length, values = flatly("lengths"), flatly("ids")
-        width = texts["width"][0].as_py() if len(texts) else 2
-        per_text = [np.frombuffer(x, f"<u{width}") for x in texts["numbers"].to_pylist()]
-        counts = np.array([len(x) for x in per_text], np.int64)
-        numbers = np.concatenate(per_text).astype(np.int64) if per_text else np.zeros(0, np.int64)
-        if len(numbers) and numbers.max() >= len(length):
+        if len(texts) != 1 or not len(found):
             raise RuntimeError("the input came in another order when it was read again; write it as a table first")
-        first = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
-        size = length[numbers].astype(np.int64)
-        at = np.concatenate([[0], np.cumsum(size)])
-        picked = values[np.repeat(first[numbers] - at[:-1], size) + np.arange(at[-1])]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        out = [texts["row"].combine_chunks(), pa.ListArray.from_arrays(
-            pa.array(at[ends].astype(np.int32)), pa.array(picked.astype(np.int32)))]
+        parts = [np.split(np.frombuffer(_unpacked(x), np.int32), [n])
+                 for x, n in zip(found["ids"].to_pylist(), found["n"].to_pylist())]
+        length, values = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        numbers = np.frombuffer(_unpacked(texts["numbers"][0].as_py()), f"<u{texts['width'][0].as_py()}")
+        numbers = numbers.astype(np.int64)
+        picked, at = _gather(values, length, numbers)
+        ends = np.concatenate([[0], np.cumsum(texts["counts"].combine_chunks().flatten().to_numpy())])
+        out = [texts["rows"].combine_chunks().flatten(),
+               pa.ListArray.from_arrays(pa.array(at[ends].astype(np.int32)), pa.array(picked))]
         if back:
-            sp = processor(path)
-            plain = pa.array([sp.decode(values[a:b].tolist()) for a, b in zip(first[:-1], first[1:])], pa.string())
+            first = np.cumsum(length)[:-1]
+            plain = pa.array(processor(path).decode([x.tolist() for x in np.split(values, first)]), pa.string())
             words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), plain.take(pa.array(numbers)))
             out.append(pc.binary_join(words, " "))
         return pa.table(out, ["row", "ids"] + ["decoded"] * back)
 
-    fields = [rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    fields = [T.StructField("row", rows.schema["rows"].dataType.elementType),
+              T.StructField("ids", T.ArrayType(T.IntegerType()))]
     fields += [T.StructField("decoded", T.StringType())] * back
     return rows.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(run, T.StructType(fields))
 
