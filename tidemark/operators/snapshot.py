@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import cadence as fx
 from tidemark.operators.timeline import daily_rollup, probe_features, timeline_features
 from tidemark.params import CadenceParams
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import (
     clean_backorders, clean_invoices, clean_orders, raw_feeds, sign_invoices, type_orders,
 )
@@ -153,16 +154,34 @@ def ranked(snapshot: DataFrame) -> DataFrame:
                             F.col("customer_id"), F.col("t0"))
 
 
-def write_snapshot(snapshot: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Full refresh of the snapshot table (TRUNCATE + INSERT becomes an
-    overwrite).  Written as parquet; readers use :func:`read_snapshot`."""
-    snapshot.write.mode(mode).parquet(path)
+def positioned(snapshot: DataFrame) -> DataFrame:
+    """F17 with the place of every row in the result: ``position`` from 1.
+
+    The range sort gives every task one stretch of the order.  A row's number in
+    its stretch and the sizes of the stretches before it give its position, so no
+    task sees more than its own rows; the sizes are one row a task.  The sorted
+    rows are checkpointed, because a sort run again may cut other stretches.
+    """
+    ensure_checkpoint_dir(snapshot.sparkSession)
+    # the id is the task's number above bit 33 and the row's number in it below
+    rows = ranked(snapshot).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    rows = rows.withColumns({"_task": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    sizes = rows.groupBy("_task").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_task", F.coalesce(before, F.lit(0)).alias("_before"))
+    return (rows.join(F.broadcast(starts), "_task")      # one row a task
+            .withColumn("position", F.col("_before") + F.col("_row") + 1)
+            .drop("_at", "_task", "_row", "_before"))
+
+
+def write_snapshot(snapshot: DataFrame, path: str) -> None:
+    """Full refresh of the stored snapshot, atomic for its readers."""
+    from tidemark.operators import store
+    store.publish(snapshot, path)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Read a stored snapshot; columns missing from an older layout
-    (the five severity columns) are added as NULL."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in SNAPSHOT_SCHEMA.fields
-               if f.name not in df.columns}
-    return df.withColumns(missing) if missing else df
+    """The stored snapshot in the declared schema; columns that an older
+    layout lacks (the five severity columns) are NULL."""
+    from tidemark.operators import store
+    return store.read(spark, path)
