@@ -35,6 +35,8 @@ class ScoreParams:
     headers: str = "friendly"          # "friendly" or "technical"
     max_iter: int = 1000
     tol: float = 1e-8
+    solver: str = "lbfgs"              # "lbfgs" or "newton" (exact to rounding)
+    background_rows: int = 0           # > 0: contributions relative to a sample of so many rows
     median_accuracy: int = 10000       # sketch accuracy that brackets the exact median
     feature_cols: tuple[str, ...] = field(default_factory=lambda: tuple(FEATURE_COLUMNS))
 

@@ -23,7 +23,10 @@ def scored_rows(snapshot: DataFrame, params: ScoreParams = ScoreParams(), run_da
         rows = M.materialize(rows)
     model = M.fit(rows, params)
     work = M.coerce_features(rows, list(params.feature_cols))
-    return M.score(work, model, params), model
+    scored = M.score(work, model, params)
+    if params.background_rows > 0:
+        scored = M.against_background(scored, model, M.background_means(scored, model, params.background_rows))
+    return scored, model
 
 
 def explained_rows(scored: DataFrame, model: M.FittedModel, params: ScoreParams, today) -> DataFrame:

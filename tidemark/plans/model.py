@@ -12,7 +12,8 @@ back into the plan as literals.
 * G5 standardises with the population std (zero variance -> scale 1).
 * G6 is Spark ML's LogisticRegression with instance weights n/(2 n_class)
   and ``regParam = 1/n``: the same optimum as C=1 with balanced class
-  weights (the objective divided by sum(weights) = n).
+  weights (the objective divided by sum(weights) = n).  A second solver takes
+  Newton steps on the same objective, from one aggregate a step.
 * G8/G9 scoring and linear contributions are plain column expressions.
 """
 
@@ -21,12 +22,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.params import ScoreParams
+from tidemark.params import CUSTOMER_ID_COL, DATE_COL, ScoreParams
 from tidemark.session import ensure_checkpoint_dir
 
 
@@ -236,7 +239,9 @@ def fit(df: DataFrame, params: ScoreParams = ScoreParams()) -> FittedModel:
         *[model.z(j, F.col(c)).alias(f"_z{j}") for j, c in enumerate(cols)],
         y.cast("double").alias("_label"),
         F.when(y == 1, F.lit(st.weights[1])).otherwise(F.lit(st.weights[0])).alias("_w"))
-    model.coefficients, model.intercept, model.iterations = _lbfgs_fit(train, len(cols), st.n, params)
+    if params.solver not in _SOLVERS:
+        raise ValueError(f"solver must be one of {sorted(_SOLVERS)}")
+    model.coefficients, model.intercept, model.iterations = _SOLVERS[params.solver](train, len(cols), st.n, params)
     return model
 
 
@@ -254,6 +259,99 @@ def _lbfgs_fit(train: DataFrame, k: int, n: int, params: ScoreParams):
             int(fitted.summary.totalIterations))
 
 
+def _moments(train: DataFrame, theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Loss, gradient and Hessian of the weighted log-likelihood at ``theta``
+    (coefficients, then intercept), summed over all rows: every task adds up its
+    rows as matrix products and sends one number a cell, Spark adds the cells."""
+    k = len(theta) - 1
+    upper = np.triu_indices(k + 1)
+    size = 1 + (k + 1) + len(upper[0])
+
+    def run(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            x = np.column_stack([batch.column(f"_z{j}").to_numpy(zero_copy_only=False) for j in range(k)]
+                                + [np.ones(len(batch))])
+            y, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_label", "_w"))
+            margin = x @ theta
+            p = 1.0 / (1.0 + np.exp(-np.clip(margin, -700, 700)))
+            total[0] += np.sum(w * (np.logaddexp(0.0, margin) - y * margin))
+            total[1:k + 2] += x.T @ (w * (p - y))
+            total[k + 2:] += (x.T @ (x * (w * p * (1.0 - p))[:, None]))[upper]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["cell", "v"])
+
+    cells = train.mapInArrow(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
+    sums = np.zeros(size)
+    sums[cells["cell"].to_numpy()] = cells["v"].to_numpy()
+    hessian = np.zeros((k + 1, k + 1))
+    hessian[upper] = sums[k + 2:]
+    return float(sums[0]), sums[1:k + 2], hessian + np.triu(hessian, 1).T
+
+
+def _newton_fit(train: DataFrame, k: int, n: int, params: ScoreParams):
+    """Newton's method on the penalised objective: the loss over all rows plus
+    half the squared coefficients (not the intercept).  It is convex, so a step
+    that does not lower it is halved; a few steps reach rounding error."""
+    penalty = np.append(np.ones(k), 0.0)
+
+    def at(theta):
+        loss, gradient, hessian = _moments(train, theta)
+        return loss + 0.5 * float(penalty @ theta ** 2), gradient + penalty * theta, hessian + np.diag(penalty)
+
+    theta = np.zeros(k + 1)
+    value, gradient, hessian = at(theta)
+    for step in range(1, params.max_iter + 1):
+        if np.max(np.abs(gradient)) <= 1e-12 * n:
+            break
+        move = np.linalg.solve(hessian, gradient)
+        for _ in range(30):
+            tried = at(theta - move)
+            if tried[0] <= value + 1e-12 * abs(value):
+                break
+            move = move / 2
+        theta = theta - move
+        settled = np.max(np.abs(move)) <= 1e-13 * max(1.0, float(np.max(np.abs(theta))))
+        value, gradient, hessian = tried
+        if settled:
+            break
+    return [float(x) for x in theta[:k]], float(theta[k]), step
+
+
+_SOLVERS = {"lbfgs": _lbfgs_fit, "newton": _newton_fit}
+
+
+def gradient(df: DataFrame, model: FittedModel, params: ScoreParams = ScoreParams()) -> list[float]:
+    """Gradient of the fit's objective (a row's mean) at the model's constants:
+    one value a coefficient, then the intercept.  All zero at the optimum."""
+    work = score(coerce_features(df, model.feature_cols), model, params)
+    y = label_column(params.target_col, work)
+    weight = F.when(y == 1, F.lit(model.weights[1])).otherwise(F.lit(model.weights[0]))
+    pull = weight * (F.col("predicted_churn_probability_90d") - y)
+    k = len(model.feature_cols)
+    sums = work.agg(*[F.sum(pull * F.col(f"_z{j}")).alias(f"g{j}") for j in range(k)],
+                    F.sum(pull).alias(f"g{k}")).first()
+    penalties = [*model.coefficients, 0.0]
+    return [(sums[f"g{j}"] + penalties[j]) / model.n for j in range(k + 1)]
+
+
+def background_means(scored: DataFrame, model: FittedModel, size: int) -> list[float]:
+    """Mean standardised features of a background sample: the ``size`` rows with
+    the smallest hash of customer and date.  The same rows whatever the
+    partitioning; every task keeps ``size`` rows at most."""
+    key = F.md5(F.concat_ws("|", F.col(CUSTOMER_ID_COL).cast("string"), F.col(DATE_COL).cast("string")))
+    sample = (scored.select(key.alias("_key"), *[f"_z{j}" for j in range(len(model.feature_cols))])
+              .orderBy("_key").limit(size))
+    row = sample.agg(*[F.avg(f"_z{j}").alias(f"m{j}") for j in range(len(model.feature_cols))]).first()
+    return [float(row[f"m{j}"] or 0.0) for j in range(len(model.feature_cols))]
+
+
+def against_background(scored: DataFrame, model: FittedModel, means: list[float]) -> DataFrame:
+    """G9 with a background: contributions count from the background's mean row
+    (``coef * (z - mean z)``) instead of from zero.  Scores do not change."""
+    return scored.withColumns({f"_c{j}": F.col(f"_c{j}") - F.lit(model.coefficients[j]) * F.lit(m)
+                               for j, m in enumerate(means)})
+
+
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage before the model's several passes: a reliable checkpoint
     in the cluster's shared checkpoint folder (never a local one)."""

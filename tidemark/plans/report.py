@@ -37,15 +37,18 @@ def shape(df: DataFrame, headers: str = "friendly", created_on: dt.datetime | No
 
 def to_table(report: DataFrame) -> DataFrame:
     """I4 + I6: the declared table schema gives names and types (its 'CreatedOn'
-    where the CSV says 'Createdon'); columns it does not declare keep their type
-    and get their I4 name."""
+    where the CSV says 'Createdon'); columns it does not declare get their I4 name
+    and the type that their header or Spark type implies."""
     declared = {f.name.lower(): f for f in H.PREDICTIONS_TABLE_SCHEMA.fields}
     names = H.table_names(report.columns)
+    kinds = {f.name: f.dataType for f in report.schema}
 
     def column(name: str):
         known = declared.get(name.lower())
         source = F.col(f"`{name}`")
-        return source.cast(known.dataType).alias(known.name) if known else source.alias(names[name])
+        if known:
+            return source.cast(known.dataType).alias(known.name)
+        return source.cast(H.inferred_type(name, kinds[name])).alias(names[name])
 
     return report.select(*map(column, report.columns))
 
