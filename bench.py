@@ -54,7 +54,7 @@ def main() -> None:
     # written into the session's reliable (shared) checkpoint folder
     path = ensure_checkpoint_dir(spark).rstrip("/") + "/bench-snapshot"
     timed("snapshot_write", lambda: snap.write_snapshot(snap.build_snapshot(spark, sf_dir), path))
-    stored = snap.read_snapshot(spark, path)
+    stored = snap.read_snapshot(spark, path)      # months of the published version
     timed("latest_snapshot_per_customer", lambda: _run(model_rows(stored)))
     timed("prediction_report", lambda: _run(churn.prediction_report(
         stored, ScoreParams(), today=dt.date(2001, 10, 1),

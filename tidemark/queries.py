@@ -6,12 +6,15 @@ types match the DuckDB oracle in ``oracle/sql.py``."""
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import snapshot as snap
+from tidemark.operators import store
 from tidemark.operators.spine import month_start, spine_months
 from tidemark.operators.timeline import (
     daily_rollup, invoice_gap_rows, probe_features, timeline_features,
@@ -21,7 +24,8 @@ from tidemark.plans import churn, report
 from tidemark.plans import model as M
 from tidemark.plans import select as sel
 from tidemark.plans.rules import business_rule
-from tidemark.sources import raw_feeds
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources import extracts, raw_feeds
 
 P = CadenceParams()
 _DEC = "decimal(18,2)"
@@ -214,7 +218,67 @@ def cadence_snapshot(spark, sf_dir):
 
 
 def snapshot_ranked(spark, sf_dir):
-    return snap.ranked(_rounded(_snapshot(spark, sf_dir)))
+    """The result order as a column: ``position`` from 1."""
+    return snap.positioned(_rounded(_snapshot(spark, sf_dir)))
+
+
+# ---- the stored snapshot: written, checked and read back --------------------
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def snapshot_published(spark, sf_dir):
+    path = _scratch(spark, "snapshot")
+    store.publish(_snapshot(spark, sf_dir), path)
+    return _rounded(store.read(spark, path))
+
+
+def snapshot_refreshed(spark, sf_dir):
+    """A snapshot of the events before ``NEW_FROM``, brought up to date with the rest."""
+    every, path = _inputs(spark, sf_dir), _scratch(spark, "snapshot")
+    days = {"invoices": "tx_date", "invoices_signed": "tx_date", "orders": "order_date", "backorders": "bo_date"}
+    cut = F.lit(NEW_FROM).cast("date")
+    old, new = (snap.CleanInputs(**{k: getattr(every, k).filter(keep(F.col(d))) for k, d in days.items()})
+                for keep in (lambda d: d < cut, lambda d: d >= cut))
+    store.publish(snap.cadence_snapshot(snap.spine_features(old, P), P), path)
+    store.refresh(spark, path, every, new, P)
+    return _rounded(store.read(spark, path))
+
+
+def snapshot_checks(spark, sf_dir):
+    """What the write of a published snapshot observed."""
+    metrics = store.publish(_snapshot(spark, sf_dir), _scratch(spark, "snapshot")).metrics
+    return spark.createDataFrame([(k, v) for k, v in metrics.items()], "metric string, value bigint")
+
+
+def latest_bucketed(spark, sf_dir):
+    """The latest row per customer from the table bucketed by customer."""
+    name = f"snapshot_{uuid.uuid4().hex}"
+    store.write_bucketed(_snapshot(spark, sf_dir), name, _scratch(spark, "bucketed"), buckets=8)
+    return _rounded(sel.model_rows(spark.table(name), S.target_col, RUN_DATE))
+
+
+# ---- text extracts ----------------------------------------------------------
+
+def extract_audit(spark, sf_dir):
+    """The feeds as text extracts with broken fields (a customer that is no
+    number, a day that is no date), read back: kept, filtered and quarantined."""
+    broken = lambda when, bad, c: F.when(when, F.lit(bad)).otherwise(F.col(c).cast("string"))
+    number = F.col("customer_id").cast("bigint") % 50 == 7
+    damage = {
+        extracts.BILLING: {"customer_id": broken(number, "C-7", "customer_id"),
+                           "billing_date": broken(F.dayofmonth("billing_date") == 13, "n/a", "billing_date")},
+        extracts.ORDERS: {"customer_id": broken(number, "C-7", "customer_id"),
+                          "creation_date": broken(F.dayofmonth("creation_date") == 13, "13th", "creation_date")},
+        extracts.BACKORDERS: {"creation_date": broken(F.dayofmonth("creation_date") == 13, "13th", "creation_date")}}
+    out = None
+    for (layout, columns), feed in zip(damage.items(), raw_feeds(spark, sf_dir)):
+        path = _scratch(spark, f"extract-{layout.name}")
+        extracts.write_extract(feed.withColumns(columns), layout, path)
+        counted = extracts.audit(spark, layout, path, P)
+        out = counted if out is None else out.unionByName(counted)
+    return out
 
 
 SNAPSHOT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -250,6 +314,10 @@ SNAPSHOT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reason_hard90": reason_hard90,
     "cadence_snapshot": cadence_snapshot,
     "snapshot_ranked": snapshot_ranked,
+    "snapshot_published": snapshot_published,
+    "snapshot_refreshed": snapshot_refreshed,
+    "snapshot_checks": snapshot_checks,
+    "extract_audit": extract_audit,
 }
 
 
@@ -258,8 +326,10 @@ SNAPSHOT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 RUN_DATE = "2001-12-01"
 AS_OF = "1999-01-01"
 TODAY = "2001-10-01"
+NEW_FROM = "2001-05-10"
 TOP_N = 1000
 CREATED_ON = datetime.datetime(2001, 12, 1, 8, 0, 0)
+BACKGROUND = 512
 S = ScoreParams()
 
 
@@ -321,6 +391,17 @@ def class_weights(spark, sf_dir):
                                  "label int, n bigint, weight double")
 
 
+def model_gradient(spark, sf_dir):
+    """The objective's gradient at the Newton solver's optimum, a row's mean over
+    all rows, to ``DIGITS`` digits: zero for every coefficient."""
+    rows = M.materialize(_latest(spark, sf_dir))
+    model = M.fit(rows, replace(S, solver="newton"))
+    names = [*model.feature_cols, "intercept"]
+    return spark.createDataFrame(
+        [(c, j, round(g, DIGITS) + 0.0, model.n) for j, (c, g) in enumerate(zip(names, M.gradient(rows, model, S)))],
+        "feature string, idx int, gradient double, n_rows bigint")
+
+
 def churn_scores(spark, sf_dir):
     scored, _ = churn.scored_rows(_snapshot(spark, sf_dir), S, RUN_DATE)
     return scored.select("customer_id", "as_of_date", "predicted_churn_90d",
@@ -376,6 +457,32 @@ def fixed_explanations(spark, sf_dir):
                                         "actual_churned_90d", "actual_churn_reason_90d")
 
 
+def fixed_contributions(spark, sf_dir):
+    """Contributions of the fixed model against a background of 512 rows, to 4 digits."""
+    rows = _rounded(_latest(spark, sf_dir))
+    scored = M.score(M.coerce_features(rows, list(S.feature_cols)), fixed_model(), S)
+    means = M.background_means(scored, fixed_model(), BACKGROUND)
+    return M.against_background(scored, fixed_model(), means).select(
+        "customer_id", *[(F.round(f"_c{j}", 4) + F.lit(0.0)).alias(c) for j, c in enumerate(S.feature_cols)])
+
+
+def typed_table(spark, sf_dir):
+    """A report whose columns the sink does not declare: names cleaned, types
+    from headers and values."""
+    rows = _fixed(spark, sf_dir).select(
+        F.col("customer_id").alias("Customer ID"), F.col("as_of_date").alias("Snapshot Date (t0)"),
+        F.col("days_since_last_purchase_today").cast("string").alias("Days Since Last Purchase [Today]"),
+        F.col("predicted_churn_90d").alias("Predicted to Churn"),
+        F.col("predicted_churn_probability_90d_pct").alias("Churn Probability Pct"),
+        F.col("predicted_churn_probability_90d").alias("Churn Probability"),
+        F.col("predicted_churn_reason_90d").alias("Why: At-Risk"),
+        F.col("business_churn_now").alias("Business Status"),
+        F.length("business_churn_reason").cast("bigint").alias("Text/Length %"),
+        F.col("predicted_churn_probability_90d").cast("float").cast("double").alias("Score+"),
+        (F.col("business_churn_now") == 1).alias("Key, Account"))
+    return report.to_table(rows)
+
+
 def _fixed_report(spark, sf_dir):
     return report.shape(_fixed(spark, sf_dir), "friendly", CREATED_ON)
 
@@ -400,6 +507,8 @@ SCORING_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "business_rule_today": business_rule_today,
     "feature_medians": feature_medians,
     "feature_scaling": feature_scaling,
+    "latest_bucketed": latest_bucketed,
+    "model_gradient": model_gradient,
     "class_weights": class_weights,
     "churn_scores": churn_scores,
     "churn_explanations": churn_explanations,
@@ -407,6 +516,8 @@ SCORING_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prediction_table": prediction_table,
     "fixed_scores": fixed_scores,
     "fixed_explanations": fixed_explanations,
+    "fixed_contributions": fixed_contributions,
+    "typed_table": typed_table,
     "fixed_report": fixed_report,
     "fixed_table": fixed_table,
 }
