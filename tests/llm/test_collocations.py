@@ -47,12 +47,13 @@ def corpus(seed, n=120):
     return rows + [("en", copy)] * 9 + [("en", None), (None, ""), ("de", " \t\n.,"), ("de", "a b " * 400)]
 
 
-@pytest.mark.parametrize("limit, burst, bits", [(1 << 19, 4096, 1 << 16), (40, 5, 1 << 16), (7, 2, 64)])
-def test_equals_a_plain_count(llm, limit, burst, bits):
+@pytest.mark.parametrize("limit, burst, bits, slots", [
+    (1 << 19, 4096, C.BITS, C.SLOTS), (40, 5, 1 << 16, 1 << 16), (7, 2, 64, 64)])
+def test_equals_a_plain_count(llm, limit, burst, bits, slots):
     rows = corpus(limit)
     df = llm.createDataFrame([(i, t, g, "x", 1) for i, (g, t) in enumerate(rows)],
                              "doc_id long, text string, lang string, phrase string, f int").repartition(3)
-    got = C.mine(df, least=5, longest=5, top=25, limit=limit, burst=burst, bits=bits).collect()
+    got = C.mine(df, least=5, longest=5, top=25, limit=limit, burst=burst, bits=bits, slots=slots).collect()
     assert sorted(tuple(r) for r in got) == brute(rows, 5, 5, 25)
 
 

@@ -1,23 +1,26 @@
 """Operator 12 - phrase collocation mining, HAT-trie counting.
 
 A phrase is ``2 .. longest`` words in a row inside one piece of a text.  Whatever
-holds ``least`` times has parts that hold as often, so three readings suffice:
+holds ``least`` times has parts that hold as often, so the texts are read four times:
 
 1. words: counts per slice, added up by Spark;
-2. pairs of words that are frequent;
-3. longer phrases whose pairs are all frequent.
+2. a sieve: pairs of words are counted by hash slot (``SLOTS``).  A pair found
+   ``least`` times lies in a slot that counts as much; few others do;
+3. pairs in such slots, counted exactly;
+4. longer phrases whose pairs are all frequent, by a bit filter (``BITS``).
 
-Frequent words and pairs go to the tasks as a bit filter of fixed size
-(``BITS``): it lets through all of them and few others, and whatever it lets
-through is counted exactly, so its size changes volumes and never results.
+Sieve and filter have a fixed size and let through every frequent pair;
+whatever else they let through is counted exactly, so their sizes change
+volumes and never results.
 
 A task counts phrases in a HAT-trie (``HatTrie``): nodes by word id near the
 root, hash containers of the remaining ids below, which burst into a node when
 they grow beyond ``BURST`` entries.  When a task holds ``LIMIT`` entries, its
-largest subtrees leave whole, as runs sorted by word id.  The runs of all tasks
-are merged per prefix: Spark deals them by language and first two words, with
-the texts of the words, and adds up equal phrases there.  A hot word is spread
-over the words behind it, and each task sends a phrase once per spill.
+largest subtrees leave whole, as runs sorted by word id.  A run is cut by prefix
+partition (hash of the language and the first two words, so a hot word is spread
+over the words behind it) and packed, one row per part, with the texts of its
+phrases.  Spark deals and sorts these rows by prefix partition, and a task merges
+the runs of one partition after the other.
 
 Score of a candidate (frequent phrase): the lowest floor(1000 a n / (l r)) over
 its cuts, in 128-bit integers (decimals).  Candidates that lie in a longer one
@@ -35,6 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +51,13 @@ SLICE = 1 << 22            # bytes of text counted at once
 BURST = 4_096              # entries of a container
 DEPTH = 3                  # word ids that the trie's nodes may consume
 LIMIT = 1 << 19            # entries a task holds
-BITS = 1 << 24             # bits of a filter
-RUN = 1 << 16              # rows of a batch
+BITS = 1 << 24             # bits of the filter of frequent pairs
+SLOTS, SPAN = 1 << 26, 1 << 14   # slots of the sieve; neighbours that travel together
+PENDING = 1 << 22          # slots with a count that a task holds
+RUN = 1 << 18              # phrases of a run
+MERGED = 1 << 20           # phrases of a prefix partition that wait for a merge
+SPREAD = 4                 # prefix partitions of a task
+PARTS = 16                 # parts of a language that are ranked on their own first
 
 #: fixed values: bytes that end a piece, bytes between words
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -91,33 +100,92 @@ def _places(h: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([(h + np.uint64(i) * step) % np.uint64(bits) for i in range(3)])
 
 
+def _bit(at: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    return ((mask[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 def _passes(h: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    at = _places(h, len(mask) * 64)
-    return ((mask[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)
+    return _bit(_places(h, len(mask) * 64), mask).all(axis=0)
+
+
+def _dealt(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bit_filter(found: DataFrame, bits: int = BITS) -> np.ndarray:
-    """The bits of every (lang, head) in ``found``; ``bits`` bounds what
-    reaches the driver."""
+def _to_mask(rows: DataFrame, bits: int) -> np.ndarray:
+    """Words of 64 bits from rows (slot, mask); ``bits`` bounds what reaches the driver."""
+    table = rows.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[table["slot"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
+    return out
+
+
+def bit_filter(pairs: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The bits of every pair (lang, phrase), three each."""
     @tidy
     def run(batches):
         for batch in batches:
             for one in pc.unique(batch.column("lang")).to_pylist():
-                heads = batch.column("head").filter(pc.equal(batch.column("lang"), one))
-                parts = pc.split_pattern(heads, " ")
-                h = _hashes(one, pc.list_element(parts, 0))
-                if len(parts) and pc.min(pc.list_value_length(parts)).as_py() > 1:
-                    h = _pair_hash(h, _hashes(one, pc.list_element(parts, 1)))
-                at = _places(h, bits).ravel()
+                parts = pc.split_pattern(batch.column("phrase").filter(pc.equal(batch.column("lang"), one)), " ")
+                at = _places(_pair_hash(_hashes(one, pc.list_element(parts, 0)),
+                                        _hashes(one, pc.list_element(parts, 1))), bits).ravel()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((at >> np.uint64(6)).astype(np.int64)),
                      pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["slot", "mask"])
 
-    table = (found.select("lang", "head").mapInArrow(run, "slot long, mask long")
-             .groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow())
-    out = np.zeros(bits // 64, np.uint64)
-    out[table["slot"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
-    return out
+    return _to_mask(pairs.select("lang", "phrase").mapInArrow(run, "slot long, mask long"), bits)
+
+
+def _added(slots: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct slots in order, their counts added up, ``most`` at most."""
+    slots, inverse = np.unique(slots, return_inverse=True)
+    return slots, np.minimum(np.bincount(inverse, counts, len(slots)), most).astype(np.uint16)
+
+
+def pair_sieve(docs: DataFrame, least: int, slots: int = SLOTS) -> np.ndarray:
+    """One bit per slot: pairs of words in it were found ``least`` times or more."""
+    most, span = min(least, 65_535), min(SPAN, slots)
+
+    def rows(at, counts):
+        first = np.searchsorted(at // span, np.arange(slots // span + 1))
+        used = np.flatnonzero(np.diff(first))
+        packed = [zstandard.compress((at[a:b] % span).astype(np.uint16).tobytes() + counts[a:b].tobytes())
+                  for a, b in zip(first[used], first[used + 1])]
+        return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())],
+                                          ["range", "counts"])
+
+    @tidy
+    def count(batches):
+        at, counts = np.zeros(0, np.uint32), np.zeros(0, np.uint16)
+        for lang, texts in _by_language(batches):
+            words, piece = _words(texts)
+            h = _hashes(lang, words.dictionary)[words.indices.to_numpy()]
+            joined = piece[1:] == piece[:-1]
+            here, n = np.unique((_pair_hash(h[:-1][joined], h[1:][joined]) % np.uint64(slots)).astype(np.uint32),
+                                return_counts=True)
+            at, counts = _added(np.concatenate([at, here]), np.concatenate([counts, n]), most)
+            if len(at) > PENDING:
+                yield rows(at, counts)
+                at, counts = at[:0], counts[:0]
+        yield rows(at, counts)
+
+    @tidy
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, packed in zip(batch.column("range").to_pylist(), batch.column("counts")):
+                both = np.frombuffer(zstandard.decompress(packed.as_buffer()), np.uint16)
+                place, n = both[:len(both) // 2], both[len(both) // 2:]
+                held = total.setdefault(number, np.zeros(span, np.uint16))
+                held[place] = np.minimum(held[place].astype(np.int64) + n, most)
+        for number, held in total.items():
+            mask = np.packbits(held >= most, bitorder="little").view(np.uint64)
+            used = np.flatnonzero(mask)
+            yield pa.RecordBatch.from_arrays([pa.array(number * (span // 64) + used),
+                                              pa.array(mask[used].view(np.int64))], ["slot", "mask"])
+
+    counted = docs.mapInArrow(count, "range int, counts binary").repartition(_dealt(docs), "range")
+    return _to_mask(counted.mapInArrow(add, "slot long, mask long"), slots)
 
 
 class _Node(dict):
@@ -187,8 +255,9 @@ class HatTrie:
             yield from self._run(head, child)
 
 
-def _rendered(lang: str, vocabulary: list[str], run):
-    """Batches (lang, head, tail, f) of a run: first two words, the others, count."""
+def _packed_runs(lang: str, vocabulary: list[str], run, prefixes: int):
+    """Batches (lang, prefix, n, run): the phrases of a run by prefix partition,
+    n counts of eight bytes and then the phrases, one a line."""
     words = pa.array(vocabulary, pa.string())
     by_length: dict[int, tuple[list, list]] = {}
 
@@ -196,11 +265,20 @@ def _rendered(lang: str, vocabulary: list[str], run):
         keys, counts = by_length.pop(size)
         ids = np.frombuffer(b"".join(keys), ">u4").reshape(-1, size // 4).astype(np.int32)
         text = [words.take(pa.array(ids[:, j])) for j in range(ids.shape[1])]
-        tail = pc.binary_join_element_wise(*text[2:], " ") if len(text) > 3 else text[2] if len(text) > 2 \
-            else pa.array([""] * len(keys), pa.string())
+        phrases = pc.binary_join_element_wise(*text, " ")
+        h = _hashes(lang, words)
+        prefix = (_pair_hash(h[ids[:, 0]], h[ids[:, 1]]) % np.uint64(prefixes)).astype(np.int64)
+        order = np.argsort(prefix, kind="stable")
+        phrases, counts = phrases.take(pa.array(order)), np.array(counts, np.int64)[order]
+        first = np.searchsorted(prefix[order], np.arange(prefixes + 1))
+        used = np.flatnonzero(np.diff(first))
+        ends = np.append(first[used], len(counts)).astype(np.int32)
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), phrases), "\n")
+        packed = [zstandard.compress(counts[a:b].tobytes() + x.as_buffer().to_pybytes())
+                  for a, b, x in zip(ends, ends[1:], lines)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(keys), pa.string()), pc.binary_join_element_wise(*text[:2], " "), tail,
-             pa.array(counts, pa.int64())], ["lang", "head", "tail", "f"])
+            [pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)),
+             pa.array(np.diff(ends)), pa.array(packed, pa.binary())], ["lang", "prefix", "n", "run"])
 
     for key, n in run:
         keys, counts = by_length.setdefault(len(key), ([], []))
@@ -212,18 +290,12 @@ def _rendered(lang: str, vocabulary: list[str], run):
         yield batch(size)
 
 
-def _phrases(words, piece, ids, passes, pair_mask, sizes):
-    """(rows of word ids, counts) of the distinct phrases of a slice, by size."""
-    codes = words.indices.to_numpy()
-    hashes, ok = passes
-    joined = (piece[1:] == piece[:-1]) & ok[codes[:-1]] & ok[codes[1:]]
-    if pair_mask is not None:
-        at = np.flatnonzero(joined)
-        joined[at] = _passes(_pair_hash(hashes[codes[at]], hashes[codes[at + 1]]), pair_mask)
-    ids = ids[codes]
-    at, group = np.arange(len(codes)), ids.astype(np.uint64)
+def _phrases(ids, joined, sizes):
+    """(rows of word ids, counts) of the distinct phrases of a slice, by size;
+    ``joined[i]`` says that words i and i + 1 may lie in a phrase."""
+    at, group = np.arange(len(ids)), ids.astype(np.uint64)
     for size in range(2, max(sizes) + 1):
-        good = at + size - 1 < len(codes)
+        good = at + size - 1 < len(ids)
         at, group = at[good], group[good]
         good = joined[at + size - 2]
         at, group = at[good], group[good]
@@ -234,72 +306,106 @@ def _phrases(words, piece, ids, passes, pair_mask, sizes):
         group = group.astype(np.uint64)
 
 
-def phrase_runs(docs: DataFrame, word_mask: np.ndarray, pair_mask: np.ndarray | None, sizes: tuple[int, ...],
+def phrase_runs(docs: DataFrame, mask: np.ndarray, sieve: bool, sizes: tuple[int, ...],
                 limit: int = LIMIT, burst: int = BURST) -> DataFrame:
-    """(lang, head, tail, f): sorted runs of phrase counts of every task."""
+    """(lang, prefix, n, run): sorted runs of phrase counts of every task.  Only
+    phrases whose pairs pass ``mask`` (of the sieve or of a bit filter) count."""
+    prefixes = SPREAD * _dealt(docs)
+    passes = (lambda h: _bit(h % np.uint64(len(mask) * 64), mask)) if sieve else (lambda h: _passes(h, mask))
+
     @tidy
     def run(batches):
         tries: dict[str, tuple[HatTrie, dict, list]] = {}
         for lang, texts in _by_language(batches):
             trie, number, vocabulary = tries.setdefault(lang, (HatTrie(max(sizes), burst), {}, []))
             words, piece = _words(texts)
-            hashes = _hashes(lang, words.dictionary)
-            ok = _passes(hashes, word_mask)
-            ids = np.full(len(ok), -1, np.int64)
-            for i, word in zip(np.flatnonzero(ok).tolist(), words.dictionary.filter(pa.array(ok)).to_pylist()):
+            codes = words.indices.to_numpy()
+            h = _hashes(lang, words.dictionary)[codes]
+            joined = piece[1:] == piece[:-1]
+            joined[joined] = passes(_pair_hash(h[:-1][joined], h[1:][joined]))
+            used = np.zeros(len(words.dictionary), bool)
+            used[codes[:-1][joined]] = used[codes[1:][joined]] = True
+            ids = np.zeros(len(used), np.int64)
+            for i, word in zip(np.flatnonzero(used).tolist(), words.dictionary.filter(pa.array(used)).to_pylist()):
                 if word not in number:
                     number[word] = len(vocabulary)
                     vocabulary.append(word)
                 ids[i] = number[word]
-            for rows, counts in _phrases(words, piece, ids, (hashes, ok), pair_mask, sizes):
+            for rows, counts in _phrases(ids[codes], joined, sizes):
                 trie.add(rows, counts)
                 if sum(t.size for t, _, _ in tries.values()) > limit:
                     for one, (full, _, known) in tries.items():
-                        yield from _rendered(one, known, full.spill(full.size // 2))
+                        yield from _packed_runs(one, known, full.spill(full.size // 2), prefixes)
         for lang, (trie, _, vocabulary) in tries.items():
-            yield from _rendered(lang, vocabulary, trie.spill(-1))
+            yield from _packed_runs(lang, vocabulary, trie.spill(-1), prefixes)
 
-    return docs.mapInArrow(run, "lang string, head string, tail string, f long")
+    return docs.mapInArrow(run, "lang string, prefix int, n int, run binary")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, head, f): counts of words; a null head counts all words."""
+    """(lang, phrase, f): counts of words; a null phrase counts all words."""
     @tidy
     def run(batches):
         for lang, texts in _by_language(batches):
             words, _ = _words(texts)
             counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
-            heads = pa.concat_arrays([words.dictionary, pa.nulls(1, pa.string())])
+            known = pa.concat_arrays([words.dictionary, pa.nulls(1, pa.string())])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(heads), pa.string()), heads,
-                 pa.array(np.append(counts, len(words)).astype(np.int64))], ["lang", "head", "f"])
+                [pa.array([lang] * len(known), pa.string()), known,
+                 pa.array(np.append(counts, len(words)).astype(np.int64))], ["lang", "phrase", "f"])
 
-    return docs.mapInArrow(run, "lang string, head string, f long").groupBy("lang", "head").agg(F.sum("f").alias("f"))
+    return (docs.mapInArrow(run, "lang string, phrase string, f long")
+            .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
 
 
-def _merged(runs: DataFrame, least: int) -> DataFrame:
-    """Runs merged per prefix: (lang, head, tail, f) of frequent phrases."""
-    return (runs.repartition("lang", "head").groupBy("lang", "head", "tail").agg(F.sum("f").alias("f"))
-            .filter(F.col("f") >= least))
+def merge_runs(runs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, f) of frequent phrases: the runs of each prefix partition merged."""
+    def added(tables):
+        return pa.concat_tables(tables).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
 
+    @tidy
+    def run(batches):
+        now, waiting = None, {}
+
+        def finished():
+            for lang, tables in waiting.items():
+                out = added(tables)
+                out = out.filter(pc.greater_equal(out["f"], least)).combine_chunks()
+                yield from out.add_column(0, "lang", pa.array([lang] * len(out), pa.string())).to_batches()
+            waiting.clear()
 
-def frequent(docs: DataFrame, least: int = 100, longest: int = 5, bits: int = BITS,
+        for batch in batches:
+            for lang, prefix, n, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if prefix != now:
+                    yield from finished()
+                    now = prefix
+                body = zstandard.decompress(packed)
+                phrases = pc.split_pattern(pa.array([body[8 * n:]], pa.binary()).cast(pa.string()), "\n").flatten()
+                tables = waiting.setdefault(lang, [])
+                tables.append(pa.table({"phrase": phrases, "f": pa.array(np.frombuffer(body, np.int64, n))}))
+                if sum(map(len, tables)) > 2 * max(MERGED, len(tables[0])):
+                    waiting[lang] = [added(tables)]
+        yield from finished()
+
+    near = runs.repartition(_dealt(runs), "prefix").sortWithinPartitions("prefix")
+    return near.mapInArrow(run, "lang string, phrase string, f long")
+
+
+def frequent(docs: DataFrame, least: int = 100, longest: int = 5, bits: int = BITS, slots: int = SLOTS,
              limit: int = LIMIT, burst: int = BURST) -> tuple[DataFrame, DataFrame]:
     """(totals, counts): (lang, n) and (lang, phrase, size, f) of every phrase of
     1 .. ``longest`` words found at least ``least`` times."""
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"),
                        F.coalesce("text", F.lit("")).alias("text")).filter("text != ''")
-    words = materialise(word_counts(docs).filter(F.col("head").isNull() | (F.col("f") >= least)), "words")
-    single = words.filter("head IS NOT NULL")
-    word_mask = bit_filter(single, bits)
-    pairs = materialise(_merged(phrase_runs(docs, word_mask, None, (2,), limit, burst), least), "pairs")
-    found = single.withColumn("tail", F.lit("")).unionByName(pairs)
+    words = materialise(word_counts(docs).filter(F.col("phrase").isNull() | (F.col("f") >= least)), "words")
+    runs = phrase_runs(docs, pair_sieve(docs, least, slots), True, (2,), limit, burst)
+    pairs = materialise(merge_runs(runs, least), "pairs")
+    found = words.filter("phrase IS NOT NULL").unionByName(pairs)
     if longest > 2:
-        found = found.unionByName(materialise(_merged(phrase_runs(
-            docs, word_mask, bit_filter(pairs, bits), tuple(range(3, longest + 1)), limit, burst), least), "phrases"))
-    phrase = F.concat("head", F.when(F.col("tail") != "", F.concat(F.lit(" "), "tail")).otherwise(F.lit("")))
-    counts = found.select("lang", phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("size"), "f")
-    return words.filter("head IS NULL").select("lang", F.col("f").alias("n")), counts
+        runs = phrase_runs(docs, bit_filter(pairs, bits), False, tuple(range(3, longest + 1)), limit, burst)
+        found = found.unionByName(materialise(merge_runs(runs, least), "phrases"))
+    counts = found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "f")
+    return words.filter("phrase IS NULL").select("lang", F.col("f").alias("n")), counts
 
 
 def mine(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, **memory) -> DataFrame:
@@ -326,8 +432,12 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, *
     best = (valued.groupBy("lang", "phrase", "a", "n")
             .agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
             .select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the best of every part of a language first, so that no task gets all of one
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    best = best.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    return (best.withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 
 
