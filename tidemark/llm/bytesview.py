@@ -32,7 +32,7 @@ def tidy(run):
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the n+1 offsets of its rows (null: empty)."""
-    data = pc.fill_null(column, "").cast(pa.large_binary())
+    data = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "").cast(pa.large_binary())
     offsets = np.frombuffer(data.buffers()[1], dtype=np.int64)[data.offset:data.offset + len(data) + 1]
     raw = data.buffers()[2]
     body = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)

@@ -17,7 +17,12 @@ a name of its own and then moved to its place, so a lost or repeated task
 leaves whole files only.
 
 Ids are needed twice (to count and to write) and are kept in executor memory
-meanwhile; partitions that do not fit or are lost are encoded again.
+meanwhile; partitions that do not fit or are lost are encoded again.  (Stored in
+the shared folder they would pass the disk budget next to shuffle and files.)  A
+word with the spaces before it is encoded once per slice of texts (``_encoded``).
+Every shard is one partition of the shuffle, by its number, and every file is
+checked to hold its slots without a gap: rows that came in another order the
+second time could not go unnoticed.
 
 Defined results: null text is empty: one sequence with the end id alone;
 repeated rows and rows sharing a doc_id are documents of their own; a null
@@ -29,19 +34,23 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import default_vocabulary, encoding
-from tidemark.llm.bytesview import MIX, mix, slices, tidy
+from tidemark.llm.bytesview import MIX, flat, mix, slices, tidy
 from tidemark.llm.common import materialise, read, shared_path
 
 LENGTH = 256
+SLICE = 1 << 23            # bytes of text encoded at once
 SHARD = 16_384
 END = 50_256
 ROUNDS = 6
@@ -65,36 +74,112 @@ def permute(number: np.ndarray, size: int, key: int) -> np.ndarray:
     return value.astype(np.int64)
 
 
+def _chunks(text: pa.Array, pattern: str) -> tuple[np.ndarray, pa.Array]:
+    """(chunks per text, chunks): texts cut before every space behind a printable
+    ASCII character.  The public pattern never matches across such a place, and
+    what it matches behind it does not depend on the text before; for any other
+    pattern a text is one chunk."""
+    body, ends = flat(text)
+    firsts = ends[:-1][np.diff(ends) > 0]
+    cuts = np.zeros(0, np.int64)
+    if pattern == default_vocabulary()[1]:
+        here = (body[1:] == 0x20) & (body[:-1] > 0x20) & (body[:-1] < 0x7F)
+        cuts = np.flatnonzero(here) + 1
+        cuts = cuts[~np.isin(cuts, firsts)]
+    starts = np.insert(cuts, np.searchsorted(cuts, firsts), firsts)
+    counts = np.diff(np.searchsorted(starts, ends))
+    offsets = np.append(starts, len(body)).astype(np.int32)
+    return counts, pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(body))
+
+
+@lru_cache(maxsize=2)
+def _token_bytes(path: str, pattern: str) -> np.ndarray:
+    enc = encoding(path, pattern)
+    return np.array([len(enc.decode_single_token_bytes(i)) for i in range(enc.max_token_value + 1)], np.int64)
+
+
+def _distinct_ids(chunks: pa.Array, vocabulary: tuple[str, str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, how many each chunk has) of distinct chunks, in order.
+
+    Chunks that begin with a space and end in a printable ASCII character may
+    follow each other in one text and are cut apart again by the bytes of their
+    ids; the few others are encoded one by one."""
+    enc, width = encoding(*vocabulary), _token_bytes(*vocabulary)
+    body, ends = flat(chunks)
+    begin, end = body[ends[:-1]], body[ends[1:] - 1]
+    together = (begin == 0x20) & (end > 0x20) & (end < 0x7F)
+    order = np.concatenate([np.flatnonzero(together), np.flatnonzero(~together)])
+    joined = "".join(chunks.filter(pa.array(together)).to_pylist())
+    ids = np.asarray(enc.encode_to_numpy(joined) if joined else [], np.int64)
+    size = np.diff(ends)[together]
+    tokens = np.diff(np.searchsorted(np.cumsum(width[ids]), np.concatenate([[0], np.cumsum(size)]), "right"))
+    rest = [enc.encode_ordinary(c) for c in chunks.filter(pa.array(~together)).to_pylist()]
+    ids = np.concatenate([ids, np.fromiter(chain.from_iterable(rest), np.int64)])
+    length = np.concatenate([tokens, [len(x) for x in rest]]).astype(np.int64)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return _picked(ids.astype(np.uint16), length, place)[0], length[place]
+
+
+def _picked(values: np.ndarray, length: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, ends) of the lists ``picks``; list i has ``length[i]`` values."""
+    first = np.cumsum(length) - length
+    size = length[picks]
+    at = np.concatenate([[0], np.cumsum(size)])
+    return values[np.repeat(first[picks] - at[:-1], size) + np.arange(at[-1])], at
+
+
+def _encoded(text: pa.Array, vocabulary: tuple[str, str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in order, each text's closed by ``END``; where each text
+    begins and the last one ends).  Equal chunks are encoded once."""
+    counts, chunks = _chunks(text, vocabulary[1])
+    if not len(chunks):
+        return np.full(len(text), END, "<u2"), np.arange(len(text) + 1)
+    coded = chunks.dictionary_encode()
+    if vocabulary[1] == default_vocabulary()[1]:
+        values, length = _distinct_ids(coded.dictionary, vocabulary)
+    else:
+        known = [encoding(*vocabulary).encode_ordinary(c) for c in coded.dictionary.to_pylist()]
+        length = np.array([len(x) for x in known], np.int64)
+        values = np.fromiter(chain.from_iterable(known), np.uint16, int(length.sum()))
+    ids, at = _picked(values, length, coded.indices.to_numpy())
+    ends = at[np.concatenate([[0], np.cumsum(counts)])]
+    return np.insert(ids, ends[1:], END).astype("<u2"), ends + np.arange(len(ends))
+
+
+def _per_text(ends: np.ndarray) -> np.ndarray:
+    return -(-np.diff(ends) // LENGTH)
+
+
 def sequences(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, seq, ids binary): uint16 ids, one row per sequence."""
     @tidy
     def run(batches):
-        enc = encoding(path, pattern)
         for whole in batches:
-            for batch in slices(whole, "text"):
-                rows, seqs, parts = [], [], []
-                for i, text in enumerate(batch.column("text").to_pylist()):
-                    ids = np.append(enc.encode_to_numpy(text or ""), END).astype("<u2")
-                    for k in range(0, len(ids), LENGTH):
-                        rows.append(i)
-                        seqs.append(k // LENGTH)
-                        parts.append(ids[k:k + LENGTH].tobytes())
+            for batch in slices(whole, "text", SLICE):
+                ids, ends = _encoded(batch.column("text"), (path, pattern))
+                n = _per_text(ends)
+                rows = np.repeat(np.arange(len(n)), n)
+                seq = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+                start = np.append(ends[rows] + seq * LENGTH, len(ids)) * 2
+                parts = pa.BinaryArray.from_buffers(
+                    pa.binary(), len(rows), [None, pa.py_buffer(start.astype(np.int32)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(seqs, pa.int32()),
-                     pa.array(parts, pa.binary())], ["doc_id", "seq", "ids"])
+                    [batch.column("doc_id").take(pa.array(rows)), pa.array(seq.astype(np.int32)), parts],
+                    ["doc_id", "seq", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, seq int, ids binary")
 
 
 def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
     """``rows`` with ``number`` 0 .. S-1, and S."""
-    part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    counts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").toPandas()
+    rows = rows.withColumn("part", F.shiftright("_id", 33))
+    counts = rows.groupBy("part").agg(F.count("*").alias("n")).toPandas().sort_values("part")  # one row a partition
     total = int(counts.n.sum())
     counts["base"] = counts.n.cumsum() - counts.n
-    spark = rows.sparkSession
-    base = spark.createDataFrame(counts[["part", "base"]], "part long, base long")
-    return rows.withColumn("part", part).join(F.broadcast(base), "part").withColumn(
+    base = rows.sparkSession.createDataFrame(counts[["part", "base"]], "part long, base long")
+    inside = F.col("_id").bitwiseAND((1 << 33) - 1)
+    return rows.join(F.broadcast(base), "part").withColumn(
         "number", F.col("base") + inside).drop("part", "base", "_id"), total
 
 
@@ -130,23 +215,14 @@ def write_shards(docs: DataFrame, path: str, key: int = 1, vocabulary: tuple[str
     @tidy
     def write(batches):
         import uuid
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-            shard = table.column("shard").to_numpy()
-            edge = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else []
-            for a, b in zip(edge[:-1], edge[1:]):
-                yield _write(target, table.slice(a, b - a), uuid.uuid4().hex)
-            held = table.slice(edge[-1]) if len(edge) else None
-        if held is not None and len(held):
-            yield _write(target, held, uuid.uuid4().hex)
+        rows = list(batches)           # one shard
+        if rows:
+            yield _write(target, pa.Table.from_batches(rows), uuid.uuid4().hex)
 
-    shards = max(1, -(-total // slots))
     placed = (numbered.withColumn("slot", slot("number")).withColumn("shard", F.floor(F.col("slot") / slots))
               .select("shard", "slot", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "seq", "ids"))
-    # one range of slots a partition; the file's rows arrive in slot order
-    parts = min(shards, max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    ranged = placed.repartition(parts, F.floor(F.col("shard") * parts / shards)).sortWithinPartitions("slot")
+    shards = max(1, -(-total // slots))
+    ranged = placed.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
     written = materialise(ranged.mapInArrow(write, "shard long, records long"), "manifest")
     rows.unpersist()
     return target, written
@@ -158,9 +234,15 @@ def _write(target: Shards, table: pa.Table, attempt: str) -> pa.RecordBatch:
     records["doc_id"] = table.column("doc_id").to_numpy()
     records["seq"] = table.column("seq").to_numpy()
     records["ids"] = END
-    for i, ids in enumerate(table.column("ids").to_pylist()):
-        records["count"][i] = len(ids) // 2
-        records["ids"][i, :len(ids) // 2] = np.frombuffer(ids, "<u2")
+    slot = table.column("slot").to_numpy()
+    expected = min(target.slots, target.total - shard * target.slots)
+    if not np.array_equal(slot, shard * target.slots + np.arange(expected)):
+        raise RuntimeError("the input came in another order when it was read again; write it as a table first")
+    count = pc.binary_length(table.column("ids")).to_numpy() // 2
+    records["count"] = count
+    body, _ = flat(table.column("ids").combine_chunks())
+    row = np.repeat(np.arange(len(count)), count)
+    records["ids"][row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)] = body.view("<u2")
     files, name = _files(target.name(shard))
     files.create_dir(name.rpartition("/")[0], recursive=True)
     with files.open_output_stream(f"{name}.{attempt}") as out:
@@ -190,7 +272,9 @@ def read_back(spark: SparkSession, target: Shards, written: DataFrame) -> DataFr
                     got = read_slots(target, shard * target.slots + part, 2048)
                     if not len(got):
                         break
-                    crc = [zlib.crc32(r["ids"][:r["count"]].tobytes()) for r in got]
+                    body = np.ascontiguousarray(got["ids"]).tobytes()
+                    crc = [zlib.crc32(body[2 * LENGTH * i:2 * LENGTH * i + 2 * n])
+                           for i, n in enumerate(got["count"].tolist())]
                     slot = shard * target.slots + part + np.arange(len(got))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(got["doc_id"]), pa.array(got["seq"]), pa.array(slot),
@@ -198,7 +282,8 @@ def read_back(spark: SparkSession, target: Shards, written: DataFrame) -> DataFr
                         pa.array(got["count"].astype(np.int64)), pa.array(crc, pa.int64())],
                         ["doc_id", "seq", "slot", "shard", "place", "n_tokens", "ids_crc32"])
 
-    return written.select("shard").repartition("shard").mapInArrow(
+    files = max(1, -(-target.total // target.slots))
+    return written.select("shard").repartitionById(files, F.col("shard").cast("int")).mapInArrow(
         run, "doc_id long, seq int, slot long, shard long, place long, n_tokens long, ids_crc32 long")
 
 
