@@ -132,3 +132,46 @@ def test_a_half_written_batch_is_redone(llm):
     assert rollup.batches() == []
     assert rollup.commit("1", first)
     assert [(r.source, r.n_docs) for r in rollup.totals().collect()] == [("a", 1)]
+
+
+def test_shards_equal_a_plain_layout_slot_by_slot(docs_of, llm):
+    """Awkward texts, several partitions: every record of every file, byte by byte."""
+    texts = awkward_texts() + ["many words here " * 300, "\u00a0 a\u2003 b  c \n d é f\x7f g"] * 3
+    docs = docs_of(list(enumerate(texts))).repartition(5).checkpoint()
+    target, written = token_shards.write_shards(docs, shared_path(llm, "shards"), key=7, slots=16)
+    order = [r.doc_id for part in docs.rdd.glom().collect() for r in part]
+    rows = []
+    for i in order:
+        ids = [*ENC.encode_ordinary(texts[i] or ""), token_shards.END]
+        rows += [(i, k // token_shards.LENGTH, ids[k:k + token_shards.LENGTH])
+                 for k in range(0, len(ids), token_shards.LENGTH)]
+    assert target.total == len(rows)
+    slots = token_shards.permute(np.arange(len(rows)), len(rows), 7).tolist()
+    for slot, (doc, seq, ids) in zip(slots, rows):
+        got = token_shards.read_slots(target, slot, 1)[0]
+        assert (got["doc_id"], got["seq"], got["count"]) == (doc, seq, len(ids))
+        assert got["ids"].tolist() == ids + [token_shards.END] * (token_shards.LENGTH - len(ids))
+    files = written.collect()
+    assert sorted(r.shard for r in files) == list(range(-(-len(rows) // 16)))
+    assert token_shards.read_back(llm, target, written).rdd.getNumPartitions() == len(files)
+
+
+def test_a_gap_in_a_shard_is_an_error(docs_of, llm, monkeypatch):
+    numbered = token_shards._numbered
+    monkeypatch.setattr(token_shards, "_numbered", lambda rows: (numbered(rows)[0], 3))
+    with pytest.raises(Exception, match="another order"):
+        token_shards.write_shards(docs_of([(1, "a"), (2, "b")]), shared_path(llm, "shards"))
+
+
+def test_counts_delete_copies_whose_id_is_null(llm, tmp_path):
+    rows = [(None, "same"), (1, "same"), (2, "same"), (None, "alone"), (None, None), (3, "")]
+    llm.createDataFrame([(i, t, "en", "s", 0) for i, t in rows],
+                        "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    got = token_counts.op8_token_counts(llm, str(tmp_path)).collect()
+    import duckdb
+    from tidemark.llm.sql import SQL
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(SQL["op8_token_counts"]).fetchall()
+    assert sorted(tuple(r) for r in got) == sorted(want) and {r.n_docs for r in got} == {3}

@@ -87,7 +87,7 @@ TOKEN_COUNTS = r"""
 WITH counted AS (
   SELECT source, lang, strlen(coalesce(text, '')) AS bytes,
     len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
-    doc_id = min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+    doc_id IS NOT DISTINCT FROM min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
   FROM documents
 )
 SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS n_tokens

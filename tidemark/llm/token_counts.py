@@ -149,7 +149,7 @@ def op8_token_counts(spark, sf_dir: str) -> DataFrame:
     revised = _events(counts, "revise", w, F.col("words-v1"), guess)
     # the first document of each text, by aggregate and join: a text may fill a third of the rows
     firsts = counts.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    copies = counts.join(firsts, "sha").filter("doc_id > first")
+    copies = counts.join(firsts, "sha").filter("NOT doc_id <=> first")      # a null doc_id comes last
     deletes = _events(copies, "delete", b, F.col("bytes-v1")).unionByName(
         _events(copies, "delete", w, F.col("words-v1")))
     rollup = Rollup(spark, shared_path(spark, "rollup"))
