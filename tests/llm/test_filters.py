@@ -199,3 +199,13 @@ def test_pipeline_stage_decisions(llm, docs_of):
     assert hashlib.sha256(b"").hexdigest() in {
         r.decoded_sha256 for r in corpus_pipeline.tokens(llm, docs_of([(1, None)]), SF_SMALL).collect()}
     assert pd.DataFrame(corpus_pipeline.STAGES).shape == (5, 2)
+
+
+def test_pipeline_near_duplicates_keep_columns_of_any_name(llm):
+    """Columns named like those that the stage uses inside come back as they were."""
+    words = " ".join(f"w{i}" for i in range(40))
+    df = llm.createDataFrame([(1, words, 7, 8, "r", "a"), (2, words, 9, 10, "s", "b"), (1, words, 7, 8, "r", "a")],
+                             "doc_id long, text string, _hash long, _copy int, _rest string, _id string")
+    out = corpus_pipeline.near_duplicates(llm, df, SF_SMALL)
+    assert out.columns == df.columns
+    assert [tuple(r) for r in out.collect()] == [(1, words, 7, 8, "r", "a")]
