@@ -50,9 +50,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_id")).distinct()
     kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
+    packed = _carried(kept, "doc_id", "text")
     same = Window.partitionBy("doc_id", "_hash").orderBy("_hash")
-    return (kept.withColumn("_hash", F.xxhash64("text")).withColumn("_copy", F.row_number().over(same))
-            .filter("_copy = 1").select(*docs.columns))
+    first = packed.withColumn("_hash", F.xxhash64("text")).withColumn("_copy", F.row_number().over(same))
+    return _restored(first.filter("_copy = 1"), docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
