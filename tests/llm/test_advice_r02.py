@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import SF_SMALL
 from tidemark.llm import decontaminate, jaccard_join, kneser_ney
-from tidemark.llm.common import read
+from tidemark.llm.common import materialise, read
 from tidemark.llm.queries import QUERIES
 from test_pairs import LOWER, near_copies
 
@@ -101,7 +101,7 @@ def test_null_ids_link_and_bridge(llm, docs_of):
 def test_classifier_judges_every_language_of_a_small_table(llm):
     """At sf0.01 three of four languages have under 150 trusted documents."""
     sf = "/root/testdata/sf0.01"
-    got = QUERIES["op3_quality_classifier"](llm, sf).localCheckpoint()
+    got = materialise(QUERIES["op3_quality_classifier"](llm, sf), "judged")
     assert got.filter("threshold is null").isEmpty()
     few = got.filter("lang <> 'en'").join(read(llm, sf, "labels"), "doc_id").groupBy("quality").agg(
         F.avg(F.col("kept").cast("int")).alias("kept"))
