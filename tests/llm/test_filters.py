@@ -7,7 +7,6 @@ import re
 import zlib
 from collections import Counter
 
-import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -29,14 +28,15 @@ def test_query_equals_its_sql(llm, name):
 
 
 def model_by_hand(texts):
-    """Interpolated modified Kneser-Ney over bytes, order 3, in plain Python."""
-    edge = bytes([kneser_ney.EDGE])
-    three = Counter()
+    """Interpolated modified Kneser-Ney over bytes in plain Python."""
+    edge, size = bytes([kneser_ney.EDGE]), kneser_ney.ORDER
+    padded = lambda t: edge * (size - 1) + t.encode() + edge
+    counts = Counter()
     for t in texts:
-        raw = edge * 2 + t.encode() + edge
-        three.update(raw[i:i + 3] for i in range(len(raw) - 2))
-    two = Counter(g[1:] for g in three)
-    one = Counter(g[1:] for g in two)
+        counts.update(padded(t)[i:i + size] for i in range(len(t.encode()) + 1))
+    levels = [counts]
+    for _ in range(size - 1):
+        levels.append(Counter(g[1:] for g in levels[-1]))
 
     def order(counts, below):
         n = [sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)]
@@ -55,36 +55,99 @@ def model_by_hand(texts):
             return seen + left[g[:-1]] / total[g[:-1]] * below(g[1:])
         return p
 
-    p = order(three, order(two, order(one, lambda g: 1 / 256)))
+    p = lambda g: 1 / 256
+    for counts in reversed(levels):
+        p = order(counts, p)
 
     def perplexity(t):
-        raw = edge * 2 + t.encode() + edge
-        logs = [math.log(p(raw[i:i + 3])) for i in range(len(raw) - 2)]
+        logs = [math.log(p(padded(t)[i:i + size])) for i in range(len(t.encode()) + 1)]
         return math.exp(-sum(logs) / len(logs))
     return p, perplexity
 
 
-def test_kneser_ney_equals_a_plain_computation(docs_of, llm):
+def counted(llm, rows):
+    """Counts of (fold, text) rows."""
+    return kneser_ney.gram_counts(llm.createDataFrame(rows, "fold int, text string"))
+
+
+@pytest.mark.parametrize("block", [1 << 24, 8])
+def test_kneser_ney_equals_a_plain_computation(docs_of, llm, monkeypatch, block):
+    monkeypatch.setattr(kneser_ney, "BLOCK", block)
     trusted = ["the cat sat on the mat", "a cat and a hat", "the mat is flat", "éa où", ""]
     p, perplexity = model_by_hand(trusted)
-    model = kneser_ney.train(docs_of(list(enumerate(trusted))))
-    table = np.exp(kneser_ney.log_table(model).astype(float)).reshape(-1, 256)
-    assert np.allclose(table[:256 * 256:97].sum(axis=1), 1, atol=1e-4)      # a distribution in every context
-    texts = ["the hat", "ZZZ###", "", None, "été", "the cat sat on the mat"]
-    got = kneser_ney.score(docs_of(list(enumerate(texts))).drop("n_bytes"), model).collect()
+    for context in (b"the ", b"zzzz", b"\xff\xff\xffa"):
+        assert sum(p(context + bytes([b])) for b in range(256)) == pytest.approx(1, rel=1e-9)
+    model = kneser_ney.train(counted(llm, [(1, t) for t in trusted]), folds=1)     # model 0 sees every other fold
+    texts = ["the hat", "ZZZ###", "", None, "été", "the cat sat on the mat", "the hat", "x" * 3000]
+    got = kneser_ney.score(docs_of(list(enumerate(texts))), model, keep_text=True, folds=1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
     for r in got:
+        assert r.text == texts[r.doc_id] and (r.lang, r.kept) == ("en", "x")
         assert r.perplexity == pytest.approx(perplexity(texts[r.doc_id] or ""), rel=1e-4)
         assert r.n_bytes == len((texts[r.doc_id] or "").encode())
-    assert kneser_ney.score(docs_of([]).drop("n_bytes"), model).count() == 0
-    uniform = kneser_ney.score(docs_of([(1, "abc")]).drop("n_bytes"), kneser_ney.train(docs_of([]))).first()
+    assert kneser_ney.score(docs_of([]), model).count() == 0
+    empty = kneser_ney.train(counted(llm, []), folds=1)
+    uniform = kneser_ney.score(docs_of([(1, "abc")]), empty, folds=1).first()
     assert uniform.perplexity == pytest.approx(256, rel=1e-3)
 
 
+def test_every_text_is_scored_without_its_own_fold(docs_of, llm):
+    texts = [f"text {i} of the {'cat' if i % 3 else 'hat'}" for i in range(40)]
+    docs = docs_of(list(enumerate(texts))).withColumn("fold", kneser_ney._fold(F.col("text")))
+    fold = {r.doc_id: r.fold for r in docs.collect()}
+    got = kneser_ney.score(docs, kneser_ney.train(kneser_ney.gram_counts(docs))).collect()
+    by_fold = {k: model_by_hand([t for i, t in enumerate(texts) if fold[i] != k])[1] for k in set(fold.values())}
+    assert len(got) == 40 and len(by_fold) > 1
+    for r in got:
+        assert r.fold == fold[r.doc_id]
+        assert r.perplexity == pytest.approx(by_fold[fold[r.doc_id]](texts[r.doc_id]), rel=1e-4)
+
+
+def test_thresholds_equal_a_plain_computation(llm):
+    rnd = random.Random(6)
+    rows = [(lang, rnd.choice([0, 30, 70, 2000]), rnd.uniform(2, 9), rnd.random() < share)
+            for lang, n, share in (("en", 400, .8), ("de", 20, .7), (None, 9, .5), ("xx", 8, 0)) for _ in range(n)]
+    scored = llm.createDataFrame(rows, "lang string, n_bytes long, perplexity double, trusted boolean")
+    got = {r.lang: r.limits for r in kneser_ney.thresholds(scored).collect()}
+    rank = lambda q, v: sorted(v)[max(math.ceil(q * len(v)), 1) - 1]
+    size = lambda n: sum(n >= e for e in kneser_ney.LENGTHS)
+    cut, prior = kneser_ney.Cut(), kneser_ney.PRIOR
+    median = {}
+    for lang in {r[0] for r in rows}:
+        mine = [r[2] for r in rows if r[0] == lang and r[3]]
+        median[lang] = rank(.5, mine or [r[2] for r in rows if r[0] == lang])
+    ratios = [(r[0], size(r[1]), r[2] / median[r[0]]) for r in rows if r[3]]
+    blend = lambda own, n, general: math.exp((n * math.log(own) + prior * math.log(general)) / (n + prior))
+    every = rank(cut.quantile, [r for _, _, r in ratios])
+    assert set(got) == set(median)
+    for lang in median:
+        for k in range(len(kneser_ney.LENGTHS) + 1):
+            of = [r for _, s, r in ratios if s == k]
+            general = blend(rank(cut.quantile, of), len(of), every) if of else every
+            own = [r for x, s, r in ratios if (x, s) == (lang, k)]
+            limit = blend(rank(cut.quantile, own), len(own), general) if own else general
+            assert got[lang][k] == pytest.approx(limit * median[lang] * cut.margin, rel=1e-9)
+
+
+def test_classifier_without_trusted_documents_keeps_all(docs_of, llm):
+    labels = llm.createDataFrame([(1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    docs = docs_of([(1, "abc"), (2, None), (None, "x"), (2, "y")]).drop("n_bytes").withColumn("_lang", F.lit("z"))
+    scored = kneser_ney.materialise(kneser_ney.score(docs, kneser_ney.fit(docs, labels)), "scored")
+    out = kneser_ney.judge(scored, labels)
+    assert out.columns == [c for c in docs.columns if c not in ("text", "kept")] + [
+        "n_bytes", "perplexity", "threshold", "kept"]
+    assert [(r.kept, r.threshold, r._lang) for r in out.collect()] == [(True, None, "z")] * 4
+
+
 def test_classifier_keeps_clean_and_rejects_low_quality(llm):
     sf = "/root/testdata/sf0.1"
-    got = QUERIES["op3_quality_classifier"](llm, sf).join(llm.read.parquet(f"{sf}/labels.parquet"), "doc_id")
-    rate = {r.quality: r.kept for r in got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
-    assert rate[1] > 0.99 and rate[0] < 0.25
+    got = kneser_ney.materialise(QUERIES["op3_quality_classifier"](llm, sf), "op3").join(
+        llm.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    share = F.avg(F.col("kept").cast("int")).alias("kept")
+    rate = {(r.quality, r.toxic): r.kept for r in got.groupBy("quality", "toxic").agg(share).collect()}
+    assert rate[1, 0] > 0.995 and rate[0, 0] < 0.12 and rate[0, 1] < 0.10
+    for r in got.groupBy("lang", "quality").agg(share).collect():
+        assert r.kept > 0.99 if r.quality else r.kept < 0.2, r
 
 
 def test_shards_are_even_gapless_and_keep_groups_together(docs_of):
