@@ -38,9 +38,10 @@ def _restored(out: DataFrame, like: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier keeps."""
     on_workers(spark)
-    model, limits = kneser_ney.fit(docs.select("doc_id", "lang", "text"), read(spark, sf_dir, "labels"))
-    scored = kneser_ney.score(_carried(docs, "doc_id", "lang", "text"), model, keep_text=True)
-    return _restored(kneser_ney.judge(scored, limits).filter("kept"), docs)
+    labels = read(spark, sf_dir, "labels")
+    model = kneser_ney.fit(docs.select("doc_id", "text"), labels)
+    scored = materialise(kneser_ney.score(_carried(docs, "doc_id", "lang", "text"), model, keep_text=True), "scored")
+    return _restored(kneser_ney.judge(scored, labels).filter("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
