@@ -413,14 +413,14 @@ def thresholds(scored: DataFrame, cut: Cut = Cut()) -> DataFrame:
     by = medians.select(F.col("lang").alias("_lang"), "median")
     ratio = held.join(by, held["lang"].eqNullSafe(by["_lang"])).select(
         "size", "lang", (F.col("perplexity") / F.col("median")).alias("r"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(len(LENGTHS)))).alias("size")
     sizes = ratio.groupBy("size").agg(F.count("*").alias("n"), top("r").alias("r"))       # one row a class
-    every = ratio.groupBy().agg(top("r").alias("all"))                                    # one row
-    classes = scored.sparkSession.range(len(LENGTHS) + 1).select(F.col("id").cast("int").alias("size"))
-    general = classes.join(sizes, "size", "left").join(every).select(
+    whole = ratio.groupBy().agg(top("r").alias("all")).select(every, "all")               # one row a class
+    general = whole.join(sizes, "size", "left").select(
         "size", _shrunk(F.col("n"), F.col("r"), F.col("all")).alias("general"))
     own = ratio.groupBy(F.col("lang").alias("_lang"), F.col("size").alias("_size")).agg(
         F.count("*").alias("n"), top("r").alias("r"))
-    grid = medians.join(F.broadcast(general)).join(
+    grid = medians.select("lang", "median", every).join(F.broadcast(general), "size").join(
         own, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("size") == F.col("_size")), "left")
     limit = F.col("median") * _shrunk(F.col("n"), F.col("r"), F.col("general")) * cut.margin
     return grid.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("size", limit.alias("limit")))).alias("limits"))
