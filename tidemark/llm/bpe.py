@@ -17,7 +17,7 @@ Decoding looks every id up in the vocabulary and concatenates raw bytes.
 
 Defined results: null text is empty and has no ids; repeated rows and rows
 sharing a doc_id are encoded one by one; an empty table gives no rows; other
-columns are kept by ``encode`` and ``decode``.  The vocabulary is a file of
+columns of any name but ``ids`` and ``decoded`` are kept by ``encode`` and ``decode``.  The vocabulary is a file of
 ranks (``path``), installed on every worker; it is read once per worker.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesview import slices, tidy
-from tidemark.llm.common import read
+from tidemark.llm.common import aside, read
 
 CHUNK = 32_768
 OVERLAP = 2_048
@@ -131,6 +131,11 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     also ``decoded`` (binary), the bytes that the ids stand for."""
     if path is None:
         path, pattern = default_vocabulary()
+    return aside(docs, (text,), {"_row"}, lambda df: _encode(df, path, pattern, text, back),
+                 ("ids", "decoded") if back else ("ids",))
+
+
+def _encode(docs: DataFrame, path: str, pattern: str, text: str, back: bool) -> DataFrame:
     # the row number only has to be the same in both reads of one plan
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     body = F.col(text)
@@ -160,7 +165,10 @@ def decode(df: DataFrame, path: str | None = None, pattern: str | None = None) -
     """``df`` with ``decoded`` (binary): the raw bytes of ``ids`` in order."""
     if path is None:
         path, pattern = default_vocabulary()
+    return aside(df, ("ids",), set(), lambda plain: _decode(plain, path, pattern), ("decoded",))
+
 
+def _decode(df: DataFrame, path: str, pattern: str) -> DataFrame:
     @tidy
     def run(batches):
         enc = encoding(path, pattern)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def aside(docs: DataFrame, needed: tuple[str, ...], used: set[str],
+          run: Callable[[DataFrame], DataFrame], added: tuple[str, ...]) -> DataFrame:
+    """``run(docs)``, whose other columns may have the names ``used`` inside.
+
+    Where one has (or has a dot, which Arrow functions refuse), all but the ``needed`` columns travel in one struct. A column
+    named like one of those ``added`` gives way to it.
+    """
+    others = [c for c in docs.columns if c not in (*needed, *added)]
+    if not (used | set(added)) & set(docs.columns) and not any("." in c for c in others):
+        return run(docs)
+    packed = docs.select(*needed, F.struct(F.lit(0).alias("c"), *[
+        F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("_rest"))
+    out = run(packed)
+    back = {c: F.col(f"_rest.c{i}").alias(c) for i, c in enumerate(others)}
+    return out.select(*[back.get(c, c) for c in docs.columns if c in back or (c in out.columns and c not in added)], *added)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; every other code point stays."""
     return F.translate(text, A_Z, a_z)

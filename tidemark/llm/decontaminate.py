@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesview import LOWER, flat, prefix_hash, range_hash, tidy, words
-from tidemark.llm.common import lower_ascii, materialise, read
+from tidemark.llm.common import aside, lower_ascii, materialise, read
 
 WINDOW = 10
 BLOCK = 100_000          # windows of one block of the benchmark
@@ -243,8 +243,14 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, slack: int = 5) -> Dat
     """``docs`` without its text but with n_words, hits, items, near_items.
 
     With several blocks the results of a row are merged by its number, which is
-    written with the documents' own columns first.
+    written with the documents' own columns first. Columns of other names are kept.
     """
+    inside = {"_row", "term", "place"}
+    return aside(docs, ("text",), inside, lambda df: _find(df, benchmark, slack),
+                 ("n_words", "hits", "items", "near_items"))
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, slack: int) -> DataFrame:
     found = []
     for block in blocks(benchmark):
         index = build_index(docs.withColumn("_row", F.monotonically_increasing_id()), block.terms)

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesview import MIX, flat, mix, prefix_hash, range_hash, tidy
-from tidemark.llm.common import materialise, read
+from tidemark.llm.common import aside, materialise, read
 
 LENGTH = 100
 GRAM = 24
@@ -404,7 +404,12 @@ def _cut(batches, as_text: bool = False):
 def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """``docs`` without its text but with ``spans`` (removed byte ranges),
     ``n_bytes`` and ``kept``: the remaining bytes, or as text (a code point
-    that was cut in two goes with the cut)."""
+    that was cut in two goes with the cut). Columns of other names are kept."""
+    return aside(docs, ("doc_id", "text"), {"crc", "_id", "_crc"}, lambda df: _without_repeats(df, as_text),
+                 ("spans", "n_bytes", "kept"))
+
+
+def _without_repeats(docs: DataFrame, as_text: bool) -> DataFrame:
     ranges = duplicate_ranges(docs).withColumnsRenamed({"doc_id": "_id", "crc": "_crc"})
     keyed = _keyed(docs)
     joined = keyed.join(ranges, keyed["doc_id"].eqNullSafe(ranges["_id"])
