@@ -171,6 +171,17 @@ def test_shards_are_even_gapless_and_keep_groups_together(docs_of):
     assert shard.shard_documents(docs_of([])).count() == 0
 
 
+@pytest.mark.parametrize("pairs", [1_200, 2_400])
+def test_pairs_that_fit_come_together(docs_of, pairs):
+    """Of 6,000 rows, two in each pair; 15 of 16 pairs are split at first."""
+    texts = [f"pair {i // 2}" for i in range(2 * pairs)] + [f"single {i}" for i in range(6_000 - 2 * pairs)]
+    out = shard.shard_documents(docs_of(list(enumerate(texts)))).toPandas()
+    spread = out.groupby(out.link.map(bytes)).shard.agg(["size", "nunique"])
+    cut = int((spread[spread["size"] == 2]["nunique"] == 2).sum())
+    print("pairs cut", cut, "of", pairs)
+    assert cut < pairs * 0.1
+
+
 def words_of(text):
     return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
 

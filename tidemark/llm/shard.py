@@ -83,10 +83,11 @@ def _grant(rows: DataFrame, by: list[str], bucket: Column, quota: DataFrame) ->
 
 
 def _pull(state: DataFrame, capacity: int) -> DataFrame:
-    """``state`` (row, link, shard) with ``wish``: the shard its links ask for."""
+    """``state`` (row, link, shard) with ``wish``: the shard its links ask for. Ties go by
+    a hash, so that requests run both ways and can be swapped."""
     held = state.groupBy("link", "shard").agg(F.count("*").alias("n"))
     lead = (held.groupBy("link").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(
-                F.struct((-F.col("n")).alias("n"), "shard"))).alias("held"))
+                F.struct((-F.col("n")).alias("n"), F.xxhash64("link", "shard").alias("tie"), "shard"))).alias("held"))
             .filter("n > 1")
             .select("link", F.transform(F.slice("held", F.lit(1), F.greatest(
                 F.ceil(F.col("n") / F.lit(capacity)).cast("int"), F.lit(1))), lambda h: h["shard"]).alias("lead")))
