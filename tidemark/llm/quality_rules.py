@@ -5,15 +5,17 @@ one row (no shuffle of text), thresholds come from small aggregate tables.
 
 Rules.  Each rule is an integer score per thousand (``RULES``); a document
 fails a rule when its score exceeds the rule's cutoff in its stratum
-(language).  A cutoff is chosen on labelled clean holdout documents: of the
-candidate cutoffs of ``GRID``, from the loosest to the strictest, the
-strictest one whose false-rejection rate is at most ``alpha`` with confidence
-``1 - delta`` over *all* cutoffs tested.  With k of n clean documents above a
-cutoff, the exact binomial p-value of "rate > alpha" is P(Bin(n, alpha) <= k);
-Bonferroni's correction divides ``delta`` by the number of (stratum, rule,
-cutoff) tests.  A stratum with too few labelled documents to prove any cutoff
-gets none, so it rejects nothing beyond the base rules.  The bound holds for each
-rule; all rules of a stratum together reject at most len(RULES) * alpha.
+(language).  A cutoff is chosen on labelled clean holdout documents.  With k
+of n of them above a cutoff, the exact binomial p-value of "the false-rejection
+rate is above ``alpha``" is P(Bin(n, alpha) <= k).  The cutoffs of ``GRID`` are
+tested in fixed sequence, from the loosest to the strictest, up to the first
+one that is not proven: a wrong cutoff can only be chosen if the first wrong
+one of the sequence passes, so a sequence needs no correction for its length.
+``delta`` is divided by the number of sequences, one a (stratum, rule); with
+confidence ``1 - delta`` every chosen cutoff keeps its rate.  A stratum with
+fewer clean documents than ``minimum_holdout`` proves no cutoff and rejects
+nothing beyond the base rules.  The bound holds for each rule; all rules of a
+stratum together reject at most len(RULES) * alpha.
 
 Defined results: null text has no words and fails the base; an empty table
 gives no rows; null strata form one stratum; repeated rows are measured row by
@@ -22,9 +24,10 @@ row; rows whose label is missing do not calibrate; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD_GAP, materialise, read
@@ -112,7 +115,6 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     Sums the pmf downwards from k: log pmf(k) by the recurrence from
     pmf(0) = (1-p)^n, then terms relative to pmf(k), which only shrink.
     """
-    import math
     odds = math.log(p) - math.log1p(-p)
     up_to = lambda hi: F.when(hi >= 1, F.sequence(F.lit(1).cast("long"), hi))
     none = F.array().cast("array<long>")
@@ -128,9 +130,14 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(log_pk + F.log(rel["sum"])))
 
 
+def minimum_holdout(strata: int, risk: Risk = Risk()) -> int:
+    """Clean documents that a stratum needs to prove a cutoff above which none of them lies."""
+    return math.ceil(math.log(risk.delta / (strata * len(RULES))) / math.log1p(-risk.alpha))
+
+
 def calibrate(measured: DataFrame, labels: DataFrame, risk: Risk = Risk(),
               stratum: str = "lang") -> DataFrame:
-    """(stratum, rule, cutoff): the strictest proven cutoffs.
+    """(stratum, rule, cutoff): the last proven cutoff of every sequence.
 
     ``labels`` has (doc_id, quality); its clean rows that pass the base rules
     are the holdout.  Counts per (stratum, rule, cutoff) come from one
@@ -149,10 +156,11 @@ def calibrate(measured: DataFrame, labels: DataFrame, risk: Risk = Risk(),
         .groupBy("stratum", "rule", "cutoff")
         .agg(F.sum("n").alias("n"),
              F.sum(F.when(F.col("score") > F.col("cutoff"), F.col("n")).otherwise(0)).alias("k")))
-    tests = counts.groupBy().agg(F.count("*").alias("tests"))  # one row
-    proven = (counts.crossJoin(F.broadcast(tests))
-              .filter(binomial_tail(F.col("k"), F.col("n"), risk.alpha) <= F.lit(risk.delta) / F.col("tests")))
-    return proven.groupBy("stratum", "rule").agg(F.min("cutoff").cast("long").alias("cutoff"))
+    sequences = counts.agg(F.count_distinct(F.struct("stratum", "rule"))).scalar()
+    proven = binomial_tail(F.col("k"), F.col("n"), risk.alpha) <= F.lit(risk.delta) / sequences
+    loosest_first = Window.partitionBy("stratum", "rule").orderBy(F.desc("cutoff"))
+    tested = counts.withColumn("proven", proven).withColumn("all", F.bool_and("proven").over(loosest_first))
+    return tested.filter("all").groupBy("stratum", "rule").agg(F.min("cutoff").cast("long").alias("cutoff"))
 
 
 def apply_rules(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:

@@ -63,17 +63,20 @@ WITH w AS (
 {grid}
 ), counts AS (
   SELECT lang, grid.rule, cutoff, count(*) AS n,
-    count(*) FILTER (WHERE score > cutoff) AS k, count(*) OVER () AS tests
+    count(*) FILTER (WHERE score > cutoff) AS k
   FROM scores JOIN grid ON grid.rule = scores.rule
   WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
   GROUP BY lang, grid.rule, cutoff
 ), tails AS (
-  SELECT lang, rule, cutoff, tests, n, k, sum(exp(
+  SELECT lang, rule, cutoff, n, k, sum(exp(
       lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({alpha}) + (n - i) * ln(1 - {alpha}))) AS p
   FROM (SELECT *, unnest(range(0, k + 1)) AS i FROM counts) GROUP BY ALL
+), tested AS (
+  SELECT lang, rule, cutoff, bool_and(k < n * {alpha} AND p <= {delta} / sequences)
+    OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS proven
+  FROM tails, (SELECT count(*) AS sequences FROM (SELECT DISTINCT lang, rule FROM counts))
 ), cuts AS (
-  SELECT lang, rule, min(cutoff) AS cutoff FROM tails
-  WHERE k < n * {alpha} AND p <= {delta} / tests GROUP BY lang, rule
+  SELECT lang, rule, min(cutoff) AS cutoff FROM tested WHERE proven GROUP BY lang, rule
 ), broken AS (
   SELECT DISTINCT doc_id FROM scores JOIN cuts
     ON cuts.rule = scores.rule AND cuts.lang IS NOT DISTINCT FROM scores.lang WHERE score > cutoff
