@@ -16,7 +16,7 @@ from tidemark.llm.quality_rules import op10_quality_rules
 from tidemark.llm.sentence_pieces import op13_sentence_pieces
 from tidemark.llm.shard import op5_shard
 from tidemark.llm.suffix_dedup import op2_suffix_dedup
-from tidemark.llm.token_counts import op8_token_counts
+from tidemark.llm.token_counts import op8_token_counts, token_counts_bpe
 from tidemark.llm.token_shards import op4_token_shards
 
 
@@ -37,6 +37,7 @@ QUERIES = {name: _query(run) for name, run in {
     "op6_chat_format": op6_chat_format,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "token_counts_bpe": token_counts_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_rules": op10_quality_rules,
     "op11_lexical_search": op11_lexical_search,

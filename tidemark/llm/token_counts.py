@@ -27,6 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import encode
 from tidemark.llm.common import WORD_GAP, materialise, read, shared_path
 
 KEYS = ("source", "lang", "tokenizer")
@@ -125,33 +126,35 @@ class Rollup:
          .write.mode("overwrite").parquet(f"{self.path}/batch={batch}"))
 
 
-def _events(df: DataFrame, op: str, tokenizer: Column, tokens: Column, old: Column | None = None) -> DataFrame:
-    before = [F.col("source").alias("old_source"), F.col("lang").alias("old_lang"),
-              tokenizer.alias("old_tokenizer"), old.alias("old_tokens")] if old is not None else [
-        F.lit(None).cast("string").alias("old_source"), F.lit(None).cast("string").alias("old_lang"),
-        F.lit(None).cast("string").alias("old_tokenizer"), F.lit(None).cast("long").alias("old_tokens")]
-    return df.select(F.lit(op).alias("op"), "source", "lang", tokenizer.alias("tokenizer"),
-                     tokens.alias("tokens"), *before)
-
-
-def op8_token_counts(spark, sf_dir: str) -> DataFrame:
-    """Totals after four batches over all documents, one of them sent twice:
-    all documents with bytes and an estimate of their words; the estimate
-    revised to the exact count; later copies of equal texts deleted."""
-    counted = read(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"),
-        *[f(F.col("text")).alias(name) for name, f in TOKENIZERS.items()])
-    counts = materialise(counted, "token-counts")
-    b, w = F.lit("bytes-v1"), F.lit("words-v1")
-    guess = F.floor(F.col("bytes-v1") / 6)
-    inserts = _events(counts, "insert", b, F.col("bytes-v1")).unionByName(
-        _events(counts, "insert", w, guess))
-    revised = _events(counts, "revise", w, F.col("words-v1"), guess)
+def _events(counts: DataFrame, op: str, version: str, tokens: Column,
+            old: tuple[str, Column] | None = None) -> DataFrame:
+    """Events of one tokenizer version; ``old``: the version and count that a revision replaces."""
+    nothing = [F.lit(None).cast("string")] * 3 + [F.lit(None).cast("long")]
+    before = nothing if old is None else [F.col("source"), F.col("lang"), F.lit(old[0]), old[1]]
+    return counts.select(
+        F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("tokenizer"), tokens.alias("tokens"),
+        *[c.alias(f"old_{name}") for c, name in zip(before, (*KEYS, "tokens"))])
+
+
+def _rolled_up(counts: DataFrame, estimated: str, per_token: int) -> DataFrame:
+    """Totals after three batches, one of them sent twice, over ``counts``
+    (doc_id, source, lang, sha of the text, bytes-v1 and the count ``estimated``).
+
+    All documents come with their bytes and an estimate of the other count (a
+    token for so many bytes) under a version of its own; the estimate is revised
+    to the exact count, which changes the version, thus the key; later copies of
+    equal texts are deleted.
+    """
+    spark, exact, guess = counts.sparkSession, F.col(f"`{estimated}`"), F.floor(F.col("bytes-v1") / per_token)
+    estimate = f"{estimated}-estimate"
+    inserts = _events(counts, "insert", "bytes-v1", F.col("bytes-v1")).unionByName(
+        _events(counts, "insert", estimate, guess))
+    revised = _events(counts, "revise", estimated, exact, (estimate, guess))
     # the first document of each text, by aggregate and join: a text may fill a third of the rows
     firsts = counts.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = counts.join(firsts, "sha").filter("NOT doc_id <=> first")      # a null doc_id comes last
-    deletes = _events(copies, "delete", b, F.col("bytes-v1")).unionByName(
-        _events(copies, "delete", w, F.col("words-v1")))
+    deletes = _events(copies, "delete", "bytes-v1", F.col("bytes-v1")).unionByName(
+        _events(copies, "delete", estimated, exact))
     rollup = Rollup(spark, shared_path(spark, "rollup"))
     rollup.commit("0001", inserts)
     rollup.commit("0002", revised)
@@ -159,3 +162,21 @@ def op8_token_counts(spark, sf_dir: str) -> DataFrame:
     rollup.compact("base-0002")
     rollup.commit("0003", deletes)
     return rollup.totals()
+
+
+def _counted(docs: DataFrame, *more: str) -> DataFrame:
+    return docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"),
+                       *[f(F.col("text")).alias(name) for name, f in TOKENIZERS.items()], *more)
+
+
+def op8_token_counts(spark, sf_dir: str) -> DataFrame:
+    """Totals of bytes and words of the documents that are left, see ``_rolled_up``."""
+    counted = _counted(read(spark, sf_dir, "documents"))
+    return _rolled_up(materialise(counted, "token-counts"), "words-v1", 6)
+
+
+def token_counts_bpe(spark, sf_dir: str) -> DataFrame:
+    """The same batches with the ids of the byte-level BPE counted in place of the words."""
+    coded = encode(_counted(read(spark, sf_dir, "documents"), "text"))
+    counted = coded.withColumn("byte_bpe_50k", F.size("ids").cast("long")).drop("ids")
+    return _rolled_up(materialise(counted, "token-counts"), "byte_bpe_50k", 4)
