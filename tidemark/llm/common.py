@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ WORD_GAP = "[\\x20\\x09-\\x0D]+"
 A_Z, a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_written: ContextVar[list[DataFrame] | None] = ContextVar("written", default=None)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -32,7 +37,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    if (tables := _written.get()) is not None:
+        tables.append(table)
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` from which nothing is read any more: all
+    that was made of them has been written, too."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def last_table_stays() -> Iterator[None]:
+    """Of the tables of ``materialise`` written inside, all but the last are
+    deleted at the end; after an error they stay."""
+    tables: list[DataFrame] = []
+    token = _written.set(tables)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+    discard(*tables[:-1])
 
 
 def aside(docs: DataFrame, needed: tuple[str, ...], used: set[str],

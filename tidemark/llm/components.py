@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import discard, materialise
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -15,8 +15,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     (one count a round reaches the driver)."""
     both = materialise(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
                        "links")
-    labels = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
-                         .withColumnRenamed("a", "v"), "labels")
+    written = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
+                          .withColumnRenamed("a", "v"), "labels")
+    labels = written
     while True:
         near = (both.join(labels.withColumnRenamed("v", "b"), "b").groupBy("a")
                 .agg(F.min("label").alias("near")).withColumnRenamed("a", "v"))
@@ -25,6 +26,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         step = materialise(step.join(top, "best").select(
             "v", F.least("best", "top").alias("label"), (F.least("best", "top") != F.col("label")).alias("moved")),
             "labels")
-        labels = step.select("v", "label")
+        discard(written)
+        written, labels = step, step.select("v", "label")
         if step.filter("moved").isEmpty():
+            discard(both)
             return labels

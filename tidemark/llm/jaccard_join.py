@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesview import LOWER, MIX, flat, mix, slices, tidy, words
-from tidemark.llm.common import materialise, read
+from tidemark.llm.common import discard, materialise, read
 from tidemark.llm.components import connected_components
 
 PERCENT = 90
@@ -160,7 +160,7 @@ def first_pass(link: Link):
 
 
 def _vertices(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
-    """(documents (doc_id, n, s1, s2), sets (s1, s2, n, rep, copies, shared))."""
+    """(documents (doc_id, n, s1, s2), sets (s1, s2, n, rep, copies, shared)), both written."""
     rows = docs.select("doc_id", "text").mapInArrow(
         first_pass(link), "h long, doc_id long, n int, s1 long, s2 long, shared int")
     times = F.count("*").over(Window.partitionBy("h"))
@@ -175,7 +175,9 @@ def _vertices(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
     sets = counted.filter("n > 0").groupBy("s1", "s2").agg(
         F.max("n").alias("n"), F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
         F.max(F.col("shared") + F.coalesce("elsewhere", F.lit(0))).alias("shared"))
-    return known.select("doc_id", "n", "s1", "s2"), materialise(sets, "sets")
+    sets, known = materialise(sets, "sets"), materialise(known.select("doc_id", "n", "s1", "s2"), "documents")
+    discard(rows)
+    return known, sets
 
 
 def second_pass(link: Link):
@@ -325,10 +327,13 @@ def links(common: DataFrame, link: Link) -> DataFrame:
 
     named = materialise(labelled(rows).join(
         labelled(best).select("key", F.col("label").alias("star")), "key"), "named")
+    discard(rows, best)
     outside = named.filter("label <> star")
     rest = _pairs(outside.alias("x").join(named.alias("y"), "key").filter(
         (F.col("x.label") != F.col("y.label")) & _fits("x", "y", link.percent)))
-    return found.unionByName(_verified(rest, common, link.percent))
+    more = _verified(rest, common, link.percent)
+    discard(named)
+    return found.unionByName(more)
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -336,8 +341,12 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     link = Link(shingle, percent)
     known, sets = _vertices(docs, link)
     candidates = _candidates(docs, sets, link)
-    label = connected_components(links(_common(candidates, link), link))
-    linked = candidates.select("v", "s1", "s2").join(label, "v").select("s1", "s2", "label")
+    common = _common(candidates, link)
+    known_as = materialise(candidates.select("v", "s1", "s2"), "vertices")
+    discard(candidates)
+    label = connected_components(links(common, link))
+    discard(common)
+    linked = known_as.join(label, "v").select("s1", "s2", "label")
     members = linked.join(sets.select("s1", "s2", "rep"), ["s1", "s2"])
     smallest = members.groupBy("label").agg(F.min("rep").alias("component"))
     linked = members.join(smallest, "label").select("s1", "s2", "component")

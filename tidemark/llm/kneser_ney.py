@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bytesview import flat, slices, tidy
-from tidemark.llm.common import materialise, read
+from tidemark.llm.common import discard, materialise, read
 
 ORDER = 5                       # bytes of an n-gram
 EDGE = 0xFF                     # before and behind a text; no UTF-8 text holds this byte
@@ -170,16 +170,17 @@ def _discounted(grams: DataFrame) -> DataFrame:
 
 
 def train(counts: DataFrame, folds: int = FOLDS) -> DataFrame:
-    """(fold, ctx, gamma, b, d): the finished models, one row a context.
+    """(fold, ctx, gamma, b, d): the finished models, one row a context, as a written table.
 
     ``ctx`` is tagged with its order; ``gamma`` is the log of the mass left; ``b`` lists
     the bytes seen, ``d`` the logs of p_n / p_(n-1).
     """
     order = materialise(_by_model(counts, folds), "grams")
-    levels = [order]
+    levels, tables = [order], [order]
     for n in range(ORDER - 1, 0, -1):   # in how many left contexts an n-gram occurs
         order = order.groupBy("fold", F.col("gram").bitwiseAND((1 << 8 * n) - 1).alias("gram")).agg(F.count("*").alias("c"))
         levels.append(order if n > 1 else materialise(order, "grams"))
+    tables.append(levels[-1])
     below, out = None, None
     for n, grams in enumerate(reversed(levels), 1):
         flatten = _discounted(grams).select("fold", "ctx", "gamma", F.inline("kids")).withColumn(
@@ -192,11 +193,14 @@ def train(counts: DataFrame, folds: int = FOLDS) -> DataFrame:
         level = materialise(flatten.select("fold", "ctx", "gamma", "b", "gram", "q", (
             F.col("alpha") + F.col("gamma") * F.col("q")).alias("p")), "level")
         below = level
+        tables.append(level)
         rows = level.groupBy("fold", (F.col("ctx") + F.lit(n << TAG)).alias("ctx"), F.log("gamma").cast("float").alias("gamma")).agg(
             F.collect_list(F.struct("b", F.log(F.col("p") / F.col("q")).cast("float").alias("d"))).alias("k")).select(
             "fold", "ctx", "gamma", F.col("k.b").alias("b"), F.col("k.d").alias("d"))
         out = rows if out is None else out.unionByName(rows)
-    return out
+    model = materialise(out, "model")
+    discard(*tables)
+    return model
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -433,7 +437,10 @@ def _trusted(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The models of the trusted documents among ``docs``, see ``train``."""
     texts = _filtered(docs.select("doc_id", "text"), _trusted(labels)).select(_fold(F.col("text")).alias("fold"), "text")
-    return materialise(train(materialise(gram_counts(texts), "counts")), "model")
+    counts = materialise(gram_counts(texts), "counts")
+    model = train(counts)
+    discard(counts)
+    return model
 
 
 def judge(scored: DataFrame, labels: DataFrame, cut: Cut = Cut()) -> DataFrame:
@@ -454,5 +461,7 @@ def op3_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """Perplexity and verdict of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     labels = read(spark, sf_dir, "labels")
-    scored = materialise(score(docs, fit(docs, labels)), "scores")
+    model = fit(docs, labels)
+    scored = materialise(score(docs, model), "scores")
+    discard(model)
     return judge(scored, labels).select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "kept")
