@@ -2,6 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it
 as Parquet into the shared folder and reads it back as the next stage's docs.
+What a stage has written on its way, and its input, are deleted behind it.
 Every stage but the last returns all columns of its input, in their order.
 
 Rows are followed by doc_id.  Rows that share a doc_id share its verdict in
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard_join, kneser_ney, suffix_dedup
-from tidemark.llm.common import materialise, on_workers, read
+from tidemark.llm.common import discard, last_table_stays, materialise, on_workers, read
 
 #: near duplicates: shingles of so many words, and their similarity in percent
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
@@ -41,6 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels")
     model = kneser_ney.fit(docs.select("doc_id", "text"), labels)
     scored = materialise(kneser_ney.score(_carried(docs, "doc_id", "lang", "text"), model, keep_text=True), "scored")
+    discard(model)
     return _restored(kneser_ney.judge(scored, labels).filter("kept"), docs)
 
 
@@ -88,7 +90,10 @@ STAGES = [("quality classifier", quality), ("n-gram Jaccard join", near_duplicat
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with last_table_stays():
+            docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(*before)
+        before = [docs]
     return docs
