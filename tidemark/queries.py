@@ -39,7 +39,7 @@ def _probes(spark: SparkSession, sf_dir: str, backorders: bool = False) -> DataF
     """Spine rows; the backorder feed is read only where its sums are wanted."""
     i = _inputs(spark, sf_dir)
     return probe_features(timeline_features(
-        daily_rollup(i.invoices_signed, i.orders, i.backorders if backorders else None), P))
+        daily_rollup(i.invoices_signed, i.orders, i.backorders if backorders else None, i.rows_in), P))
 
 
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,8 @@ def latest_terms_asof(spark, sf_dir):
 
 
 def purchase_gaps(spark, sf_dir):
-    return invoice_gap_rows(timeline_features(daily_rollup(_inputs(spark, sf_dir).invoices_signed), P))
+    i = _inputs(spark, sf_dir)
+    return invoice_gap_rows(timeline_features(daily_rollup(i.invoices_signed, rows_in=i.rows_in), P))
 
 
 def gaps_lookback(spark, sf_dir):
@@ -239,7 +240,7 @@ def snapshot_refreshed(spark, sf_dir):
     every, path = _inputs(spark, sf_dir), _scratch(spark, "snapshot")
     days = {"invoices": "tx_date", "invoices_signed": "tx_date", "orders": "order_date", "backorders": "bo_date"}
     cut = F.lit(NEW_FROM).cast("date")
-    old, new = (snap.CleanInputs(**{k: getattr(every, k).filter(keep(F.col(d))) for k, d in days.items()})
+    old, new = (snap.CleanInputs(**{k: getattr(every, k).filter(keep(F.col(d))) for k, d in days.items()}, rows_in=every.rows_in)
                 for keep in (lambda d: d < cut, lambda d: d >= cut))
     store.publish(snap.cadence_snapshot(snap.spine_features(old, P), P), path)
     store.refresh(spark, path, every, new, P)
