@@ -459,8 +459,9 @@ def fixed_explanations(spark, sf_dir):
 
 
 def fixed_contributions(spark, sf_dir):
-    """Contributions of the fixed model against a background of 512 rows, to 4 digits."""
-    rows = _rounded(_latest(spark, sf_dir))
+    """Contributions of the fixed model against a background of 512 rows, to 4 digits.
+    The rows are read twice: for the background, then for all contributions."""
+    rows = M.materialize(_rounded(_latest(spark, sf_dir)))
     scored = M.score(M.coerce_features(rows, list(S.feature_cols)), fixed_model(), S)
     means = M.background_means(scored, fixed_model(), BACKGROUND)
     return M.against_background(scored, fixed_model(), means).select(
