@@ -3,15 +3,17 @@
 A phrase is ``2 .. longest`` words in a row inside one piece of a text.  Whatever
 holds ``least`` times has parts that hold as often, so the texts are read four times:
 
-1. words: counts per slice, added up by Spark;
-2. a sieve: pairs of words are counted by hash slot (``SLOTS``).  A pair found
+1. words: counts per task, added up by Spark;
+2. a sieve: pairs of words are counted by hash slot.  A pair found
    ``least`` times lies in a slot that counts as much; few others do;
-3. pairs in such slots, counted exactly;
-4. longer phrases whose pairs are all frequent, by a bit filter (``BITS``).
+3. pairs in such slots, counted exactly, and a second sieve, of longer phrases
+   all of whose pairs lie in such slots;
+4. longer phrases in frequent slots of the second sieve whose pairs are all
+   frequent, by a bit filter (``BITS``).
 
-Sieve and filter have a fixed size and let through every frequent pair;
-whatever else they let through is counted exactly, so their sizes change
-volumes and never results.
+Sieves (``SLOTS`` to ``MOST_SLOTS``, by the number of words) and filter let
+through every frequent phrase; whatever else they let through is counted
+exactly, so their sizes change volumes and never results.
 
 A task counts phrases in a HAT-trie (``HatTrie``): nodes by word id near the
 root, hash containers of the remaining ids below, which burst into a node when
@@ -35,6 +37,8 @@ read.  Texts of any length are read in whole.
 
 from __future__ import annotations
 
+from itertools import compress, islice
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -45,14 +49,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.bytesview import (
     LOWER, MIX, coded_words, flat, mix, prefix_hash, range_hash, slices, tidy,
 )
-from tidemark.llm.common import materialise, read
+from tidemark.llm.common import discard, materialise, read
 
 SLICE = 1 << 22            # bytes of text counted at once
 BURST = 4_096              # entries of a container
 DEPTH = 3                  # word ids that the trie's nodes may consume
 LIMIT = 1 << 19            # entries a task holds
 BITS = 1 << 24             # bits of the filter of frequent pairs
-SLOTS, SPAN = 1 << 26, 1 << 14   # slots of the sieve; neighbours that travel together
+SLOTS, MOST_SLOTS = 1 << 26, 1 << 28   # slots of a sieve
+SPAN = 1 << 14             # neighbouring slots that travel together (with SLOTS)
+DISTINCT = 1 << 20         # words with a count that a task holds
 PENDING = 1 << 22          # slots with a count that a task holds
 RUN = 1 << 18              # phrases of a run
 MERGED = 1 << 20           # phrases of a prefix partition that wait for a merge
@@ -68,19 +74,39 @@ _CLASS[list(ENDS)] = 0x0A
 
 
 def _words(text: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """(words, piece of each word) of all texts, in order."""
+    """(words of all texts in order, whether a word lies in one piece with the next)."""
     words, start, body, ends = coded_words(text, _CLASS, b" \n")
     breaks = body == 0x0A
     breaks[ends[ends < len(body)]] = True
-    return words, np.cumsum(breaks)[start]
+    joined = np.zeros(len(start), bool)
+    joined[:-1] = True
+    behind = np.searchsorted(start, np.flatnonzero(breaks))
+    joined[behind[behind > 0] - 1] = False
+    return words, joined
 
 
 def _by_language(batches):
-    """(language, texts) of every slice."""
+    """(language, texts): texts of one language, about ``SLICE`` bytes if there are so many."""
+    waiting: dict[str, list[pa.Array]] = {}
+    held: dict[str, int] = {}
+
+    def whole(one):
+        del held[one]
+        return one, pa.concat_arrays(waiting.pop(one))
+
     for batch in (part for whole in batches for part in slices(whole, "text", SLICE)):
         lang = batch.column("lang")
         for one in pc.unique(lang).to_pylist():
-            yield one, batch.column("text").filter(pc.equal(lang, one))
+            texts = batch.column("text").filter(pc.equal(lang, one))
+            size = pc.sum(pc.binary_length(texts)).as_py() or 0
+            if one in held and held[one] + size > SLICE:
+                yield whole(one)
+            waiting.setdefault(one, []).append(texts)
+            held[one] = held.get(one, 0) + size
+        while sum(held.values()) > 4 * SLICE:
+            yield whole(max(held, key=held.get))
+    for one in list(held):
+        yield whole(one)
 
 
 def _hashes(lang: str, words: pa.Array) -> np.ndarray:
@@ -108,6 +134,10 @@ def _passes(h: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return _bit(_places(h, len(mask) * 64), mask).all(axis=0)
 
 
+def _in_sieve(h: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    return _bit(h % np.uint64(len(mask) * 64), mask)
+
+
 def _dealt(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -138,36 +168,67 @@ def bit_filter(pairs: DataFrame, bits: int = BITS) -> np.ndarray:
 
 def _added(slots: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct slots in order, their counts added up, ``most`` at most."""
-    slots, inverse = np.unique(slots, return_inverse=True)
-    return slots, np.minimum(np.bincount(inverse, counts, len(slots)), most).astype(np.uint16)
+    if not len(slots):
+        return slots, counts
+    both = slots.astype(np.uint64) << np.uint64(16)
+    both |= counts
+    both.sort()
+    at = (both >> np.uint64(16)).astype(np.uint32)
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    total = np.add.reduceat(both & np.uint64(0xFFFF), first)
+    return at[first], np.minimum(total, np.uint64(most)).astype(np.uint16)
+
+
+def _span(slots: int) -> int:
+    return min(slots, max(SPAN, min(slots * SPAN // SLOTS, 1 << 16)))
+
+
+class _SlotCounts:
+    """Counts by hash slot of a task, ``most`` at most, given away when there are
+    more than ``PENDING``.  What comes in is added up only once there is much of it."""
+
+    def __init__(self, slots: int, most: int):
+        self.slots, self.most, self.span = slots, most, _span(slots)
+        self._empty()
+
+    def _empty(self):
+        self.held = np.zeros(0, np.uint32), np.zeros(0, np.uint16)
+        self.new, self.waiting = [], 0
+
+    def add(self, h: np.ndarray) -> bool:
+        """Whether it is time for ``rows``."""
+        at, n = np.unique((h % np.uint64(self.slots)).astype(np.uint32), return_counts=True)
+        self.new.append((at, np.minimum(n, self.most).astype(np.uint16)))
+        self.waiting += len(at)
+        if self.waiting > PENDING // 2:
+            self._add_up()
+        return len(self.held[0]) > PENDING
+
+    def _add_up(self):
+        at, counts = zip(self.held, *self.new)
+        self.held = _added(np.concatenate(at), np.concatenate(counts), self.most)
+        self.new, self.waiting = [], 0
+
+    def rows(self) -> list[pa.Array]:
+        """Ranges of slots and their packed counts, of everything since the last call."""
+        self._add_up()
+        at, counts = self.held
+        self._empty()
+        first = np.searchsorted(at // self.span, np.arange(self.slots // self.span + 1))
+        used = np.flatnonzero(np.diff(first))
+        packed = [zstandard.compress((at[a:b] % self.span).astype(np.uint16).tobytes() + counts[a:b].tobytes())
+                  for a, b in zip(first[used], first[used + 1])]
+        return [pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())]
 
 
-def pair_sieve(docs: DataFrame, least: int, slots: int = SLOTS) -> np.ndarray:
-    """One bit per slot: pairs of words in it were found ``least`` times or more."""
-    most, span = min(least, 65_535), min(SPAN, slots)
+def _most(least: int) -> int:
+    """The highest count of a slot: enough to tell that ``least`` was reached."""
+    return min(least, 65_535)
 
-    def rows(at, counts):
-        first = np.searchsorted(at // span, np.arange(slots // span + 1))
-        used = np.flatnonzero(np.diff(first))
-        packed = [zstandard.compress((at[a:b] % span).astype(np.uint16).tobytes() + counts[a:b].tobytes())
-                  for a, b in zip(first[used], first[used + 1])]
-        return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())],
-                                          ["range", "counts"])
 
-    @tidy
-    def count(batches):
-        at, counts = np.zeros(0, np.uint32), np.zeros(0, np.uint16)
-        for lang, texts in _by_language(batches):
-            words, piece = _words(texts)
-            h = _hashes(lang, words.dictionary)[words.indices.to_numpy()]
-            joined = piece[1:] == piece[:-1]
-            here, n = np.unique((_pair_hash(h[:-1][joined], h[1:][joined]) % np.uint64(slots)).astype(np.uint32),
-                                return_counts=True)
-            at, counts = _added(np.concatenate([at, here]), np.concatenate([counts, n]), most)
-            if len(at) > PENDING:
-                yield rows(at, counts)
-                at, counts = at[:0], counts[:0]
-        yield rows(at, counts)
+def _sieve(counted: DataFrame, least: int, slots: int) -> np.ndarray:
+    """One bit per slot from rows (range, counts): ``least`` or more were counted in it."""
+    most, span = _most(least), _span(slots)
 
     @tidy
     def add(batches):
@@ -184,8 +245,24 @@ def pair_sieve(docs: DataFrame, least: int, slots: int = SLOTS) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(number * (span // 64) + used),
                                               pa.array(mask[used].view(np.int64))], ["slot", "mask"])
 
-    counted = docs.mapInArrow(count, "range int, counts binary").repartition(_dealt(docs), "range")
-    return _to_mask(counted.mapInArrow(add, "slot long, mask long"), slots)
+    dealt = counted.repartition(_dealt(counted), "range")
+    return _to_mask(dealt.mapInArrow(add, "slot long, mask long"), slots)
+
+
+def pair_sieve(docs: DataFrame, least: int, slots: int = SLOTS) -> np.ndarray:
+    """One bit per slot: pairs of words in it were found ``least`` times or more."""
+    @tidy
+    def count(batches):
+        seen = _SlotCounts(slots, _most(least))
+        for lang, texts in _by_language(batches):
+            words, joined = _words(texts)
+            h = _hashes(lang, words.dictionary)[words.indices.to_numpy()]
+            at = np.flatnonzero(joined)
+            if seen.add(_pair_hash(h[at], h[at + 1])):
+                yield pa.RecordBatch.from_arrays(seen.rows(), ["range", "counts"])
+        yield pa.RecordBatch.from_arrays(seen.rows(), ["range", "counts"])
+
+    return _sieve(docs.mapInArrow(count, "range int, counts binary"), least, slots)
 
 
 class _Node(dict):
@@ -237,11 +314,11 @@ class HatTrie:
         return sum(map(HatTrie._entries, child.values())) if type(child) is _Node else len(child)
 
     def _run(self, prefix: bytes, child):
-        for key in sorted(child):
-            if type(child) is _Node:
+        if type(child) is _Node:
+            for key in sorted(child):
                 yield from self._run(prefix + key, child[key])
-            else:
-                yield prefix + key, child[key]
+        else:
+            yield from sorted([(prefix + key, n) for key, n in child.items()])
 
     def spill(self, keep: int):
         """Take out the largest subtrees until ``keep`` entries are left, each as
@@ -259,17 +336,15 @@ def _packed_runs(lang: str, vocabulary: list[str], run, prefixes: int):
     """Batches (lang, prefix, n, run): the phrases of a run by prefix partition,
     n counts of eight bytes and then the phrases, one a line."""
     words = pa.array(vocabulary, pa.string())
-    by_length: dict[int, tuple[list, list]] = {}
+    h = _hashes(lang, words)
 
-    def batch(size):
-        keys, counts = by_length.pop(size)
+    def batch(size, keys, counts):
         ids = np.frombuffer(b"".join(keys), ">u4").reshape(-1, size // 4).astype(np.int32)
-        text = [words.take(pa.array(ids[:, j])) for j in range(ids.shape[1])]
-        phrases = pc.binary_join_element_wise(*text, " ")
-        h = _hashes(lang, words)
+        counts = np.fromiter(counts, np.int64, len(ids))
         prefix = (_pair_hash(h[ids[:, 0]], h[ids[:, 1]]) % np.uint64(prefixes)).astype(np.int64)
         order = np.argsort(prefix, kind="stable")
-        phrases, counts = phrases.take(pa.array(order)), np.array(counts, np.int64)[order]
+        ids, counts = ids[order], counts[order]
+        phrases = pc.binary_join_element_wise(*[words.take(pa.array(ids[:, j])) for j in range(ids.shape[1])], " ")
         first = np.searchsorted(prefix[order], np.arange(prefixes + 1))
         used = np.flatnonzero(np.diff(first))
         ends = np.append(first[used], len(counts)).astype(np.int32)
@@ -280,79 +355,134 @@ def _packed_runs(lang: str, vocabulary: list[str], run, prefixes: int):
             [pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)),
              pa.array(np.diff(ends)), pa.array(packed, pa.binary())], ["lang", "prefix", "n", "run"])
 
-    for key, n in run:
-        keys, counts = by_length.setdefault(len(key), ([], []))
-        keys.append(key)
-        counts.append(n)
-        if len(keys) == RUN:
-            yield batch(len(key))
-    for size in list(by_length):
-        yield batch(size)
-
-
-def _phrases(ids, joined, sizes):
-    """(rows of word ids, counts) of the distinct phrases of a slice, by size;
-    ``joined[i]`` says that words i and i + 1 may lie in a phrase."""
-    at, group = np.arange(len(ids)), ids.astype(np.uint64)
-    for size in range(2, max(sizes) + 1):
-        good = at + size - 1 < len(ids)
-        at, group = at[good], group[good]
-        good = joined[at + size - 2]
-        at, group = at[good], group[good]
-        key = (group << np.uint64(32)) | ids[at + size - 1].astype(np.uint64)
-        _, place, group, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    run = iter(run)
+    while some := list(islice(run, RUN)):
+        keys, counts = zip(*some)
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+        for size in np.unique(sizes).tolist():
+            here = (sizes == size).tolist()
+            yield batch(size, compress(keys, here), compress(counts, here))
+
+
+def _longer_hashes(h, joined, longest, sieve=None):
+    """(size, starts, hashes) of the phrases of 2 .. ``longest`` words of a slice;
+    ``joined[i]`` says that words i and i + 1 may lie in a phrase.  Of more than
+    two words: only those in slots of ``sieve``, if there is one."""
+    at = np.flatnonzero(joined)
+    longer = h[at]
+    for size in range(2, longest + 1):
+        if size > 2:
+            good = joined[at + size - 2]
+            at, longer = at[good], longer[good]
+        longer = _pair_hash(longer, h[at + size - 1])
+        if size > 2 and sieve is not None:
+            good = _in_sieve(longer, sieve)
+            at, longer = at[good], longer[good]
+        yield size, at, longer
+
+
+def _phrases(ids, h, joined, sizes, sieve=None):
+    """(rows of word ids, counts) of the distinct phrases of a slice, by size."""
+    for size, at, _ in _longer_hashes(h, joined, max(sizes), sieve):
         if size in sizes:
-            yield ids[at[place][:, None] + np.arange(size)], counts
-        group = group.astype(np.uint64)
+            group = ids[at].astype(np.uint64)
+            for j in range(1, size - 1):
+                group = np.unique((group << np.uint64(32)) | ids[at + j].astype(np.uint64), return_inverse=True)[1]
+                group = group.astype(np.uint64)
+            key = (group << np.uint64(32)) | ids[at + size - 1].astype(np.uint64)
+            if size == 2:
+                key, counts = np.unique(key, return_counts=True)
+                yield np.stack([key >> np.uint64(32), key & np.uint64(0xFFFFFFFF)], axis=1), counts
+            else:
+                _, place, counts = np.unique(key, return_index=True, return_counts=True)
+                yield ids[at[place][:, None] + np.arange(size)], counts
 
 
-def phrase_runs(docs: DataFrame, mask: np.ndarray, sieve: bool, sizes: tuple[int, ...],
-                limit: int = LIMIT, burst: int = BURST) -> DataFrame:
+def phrase_runs(docs: DataFrame, passes, sizes: tuple[int, ...], limit: int = LIMIT, burst: int = BURST,
+                sieve: np.ndarray | None = None, longer: tuple[int, int, int] | None = None) -> DataFrame:
     """(lang, prefix, n, run): sorted runs of phrase counts of every task.  Only
-    phrases whose pairs pass ``mask`` (of the sieve or of a bit filter) count."""
+    phrases whose pairs pass ``passes`` (of their hashes) and that lie in slots of
+    ``sieve`` count.  With ``longer`` (longest, least, slots) there are rows without
+    a language, too: (range, counts of slots) as (prefix, run), for a sieve of phrases
+    of 3 .. longest words."""
     prefixes = SPREAD * _dealt(docs)
-    passes = (lambda h: _bit(h % np.uint64(len(mask) * 64), mask)) if sieve else (lambda h: _passes(h, mask))
+
+    def slot_rows(seen):
+        at, counts = seen.rows()
+        return pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.string()), at, pa.nulls(len(at), pa.int32()), counts],
+                                          ["lang", "prefix", "n", "run"])
 
     @tidy
     def run(batches):
         tries: dict[str, tuple[HatTrie, dict, list]] = {}
+        seen = _SlotCounts(longer[2], _most(longer[1])) if longer else None
         for lang, texts in _by_language(batches):
             trie, number, vocabulary = tries.setdefault(lang, (HatTrie(max(sizes), burst), {}, []))
-            words, piece = _words(texts)
+            words, joined = _words(texts)
             codes = words.indices.to_numpy()
             h = _hashes(lang, words.dictionary)[codes]
-            joined = piece[1:] == piece[:-1]
-            joined[joined] = passes(_pair_hash(h[:-1][joined], h[1:][joined]))
+            at = np.flatnonzero(joined)
+            at = at[passes(_pair_hash(h[at], h[at + 1]))]
+            joined[:] = False
+            joined[at] = True
+            if longer:
+                for size, _, hashes in _longer_hashes(h, joined, longer[0]):
+                    if size > 2 and seen.add(hashes):
+                        yield slot_rows(seen)
             used = np.zeros(len(words.dictionary), bool)
-            used[codes[:-1][joined]] = used[codes[1:][joined]] = True
+            used[codes[at]] = used[codes[at + 1]] = True
             ids = np.zeros(len(used), np.int64)
             for i, word in zip(np.flatnonzero(used).tolist(), words.dictionary.filter(pa.array(used)).to_pylist()):
                 if word not in number:
                     number[word] = len(vocabulary)
                     vocabulary.append(word)
                 ids[i] = number[word]
-            for rows, counts in _phrases(ids[codes], joined, sizes):
+            for rows, counts in _phrases(ids[codes], h, joined, sizes, sieve):
                 trie.add(rows, counts)
                 if sum(t.size for t, _, _ in tries.values()) > limit:
                     for one, (full, _, known) in tries.items():
                         yield from _packed_runs(one, known, full.spill(full.size // 2), prefixes)
         for lang, (trie, _, vocabulary) in tries.items():
             yield from _packed_runs(lang, vocabulary, trie.spill(-1), prefixes)
+        if longer:
+            yield slot_rows(seen)
 
     return docs.mapInArrow(run, "lang string, prefix int, n int, run binary")
 
 
+def _added_up(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, phrase, f): counts of words; a null phrase counts all words."""
     @tidy
     def run(batches):
+        held: dict[str, list[pa.Table]] = {}
+        waiting = 0
+
+        def all_rows():
+            for lang, tables in held.items():
+                for batch in _added_up(tables).combine_chunks().to_batches():
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(batch), pa.string()), *batch.columns],
+                                                     ["lang", "phrase", "f"])
+            held.clear()
+
         for lang, texts in _by_language(batches):
             words, _ = _words(texts)
             counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
             known = pa.concat_arrays([words.dictionary, pa.nulls(1, pa.string())])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(known), pa.string()), known,
-                 pa.array(np.append(counts, len(words)).astype(np.int64))], ["lang", "phrase", "f"])
+            held.setdefault(lang, []).append(
+                pa.table({"phrase": known, "f": pa.array(np.append(counts, len(words)).astype(np.int64))}))
+            waiting += len(known)
+            if waiting > DISTINCT:
+                for one, tables in held.items():
+                    held[one] = [_added_up(tables)]
+                waiting = sum(len(tables[0]) for tables in held.values())
+                if waiting > DISTINCT // 2:
+                    yield from all_rows()
+                    waiting = 0
+        yield from all_rows()
 
     return (docs.mapInArrow(run, "lang string, phrase string, f long")
             .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
@@ -360,19 +490,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def merge_runs(runs: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, f) of frequent phrases: the runs of each prefix partition merged."""
-    def added(tables):
-        return pa.concat_tables(tables).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
-
     @tidy
     def run(batches):
-        now, waiting = None, {}
+        now, waiting, rows = None, {}, {}
 
         def finished():
             for lang, tables in waiting.items():
-                out = added(tables)
+                out = _added_up(tables)
                 out = out.filter(pc.greater_equal(out["f"], least)).combine_chunks()
                 yield from out.add_column(0, "lang", pa.array([lang] * len(out), pa.string())).to_batches()
             waiting.clear()
+            rows.clear()
 
         for batch in batches:
             for lang, prefix, n, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -383,28 +511,43 @@ def merge_runs(runs: DataFrame, least: int) -> DataFrame:
                 phrases = pc.split_pattern(pa.array([body[8 * n:]], pa.binary()).cast(pa.string()), "\n").flatten()
                 tables = waiting.setdefault(lang, [])
                 tables.append(pa.table({"phrase": phrases, "f": pa.array(np.frombuffer(body, np.int64, n))}))
-                if sum(map(len, tables)) > 2 * max(MERGED, len(tables[0])):
-                    waiting[lang] = [added(tables)]
+                rows[lang] = rows.get(lang, 0) + n
+                if rows[lang] > 2 * max(MERGED, len(tables[0])):
+                    waiting[lang] = [_added_up(tables)]
+                    rows[lang] = len(waiting[lang][0])
         yield from finished()
 
     near = runs.repartition(_dealt(runs), "prefix").sortWithinPartitions("prefix")
     return near.mapInArrow(run, "lang string, phrase string, f long")
 
 
-def frequent(docs: DataFrame, least: int = 100, longest: int = 5, bits: int = BITS, slots: int = SLOTS,
+def slots_for(words: DataFrame) -> int:
+    """Slots of the sieves: at most eight words a slot, as far as ``MOST_SLOTS`` allow."""
+    n = words.filter("phrase IS NULL").agg(F.sum("f")).first()[0] or 0
+    return min(MOST_SLOTS, max(SLOTS, 1 << (n // 8).bit_length()))
+
+
+def frequent(docs: DataFrame, least: int = 100, longest: int = 5, bits: int = BITS, slots: int | None = None,
              limit: int = LIMIT, burst: int = BURST) -> tuple[DataFrame, DataFrame]:
     """(totals, counts): (lang, n) and (lang, phrase, size, f) of every phrase of
     1 .. ``longest`` words found at least ``least`` times."""
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"),
                        F.coalesce("text", F.lit("")).alias("text")).filter("text != ''")
     words = materialise(word_counts(docs).filter(F.col("phrase").isNull() | (F.col("f") >= least)), "words")
-    runs = phrase_runs(docs, pair_sieve(docs, least, slots), True, (2,), limit, burst)
-    pairs = materialise(merge_runs(runs, least), "pairs")
+    slots = slots or slots_for(words)
+    mask = pair_sieve(docs, least, slots)
+    counted = materialise(phrase_runs(docs, lambda h: _in_sieve(h, mask), (2,), limit, burst,
+                                      longer=(longest, least, slots) if longest > 2 else None), "runs")
+    pairs = materialise(merge_runs(counted.filter("lang IS NOT NULL"), least), "pairs")
     found = words.filter("phrase IS NOT NULL").unionByName(pairs)
     if longest > 2:
-        runs = phrase_runs(docs, bit_filter(pairs, bits), False, tuple(range(3, longest + 1)), limit, burst)
+        sieve = _sieve(counted.filter("lang IS NULL").select(F.col("prefix").alias("range"), F.col("run").alias("counts")),
+                       least, slots)
+        known = bit_filter(pairs, bits)
+        runs = phrase_runs(docs, lambda h: _passes(h, known), tuple(range(3, longest + 1)), limit, burst, sieve)
         found = found.unionByName(materialise(merge_runs(runs, least), "phrases"))
-    counts = found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "f")
+    discard(counted)
+    counts = found.select("lang", "phrase", (F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1).alias("size"), "f")
     return words.filter("phrase IS NULL").select("lang", F.col("f").alias("n")), counts
 
 
@@ -413,16 +556,12 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, *
     totals, counts = frequent(docs, least, longest, **memory)
     some = counts.filter("size > 1").withColumnRenamed("f", "a")
     # the longest parts of a phrase that occur as often: they say nothing more
-    inner = (some.filter("size > 2").withColumn("w", F.split("phrase", " "))
-             .select("lang", "a", F.explode(F.array(
-                 F.array_join(F.slice("w", F.lit(1), F.col("size") - 1), " "),
-                 F.array_join(F.slice("w", F.lit(2), F.col("size") - 1), " "))).alias("phrase")))
+    words = lambda n: F.expr(f"substring_index(phrase, ' ', {n})")  # noqa: E731 (the first n, or the last -n)
+    inner = (some.filter("size > 2")
+             .select("lang", "a", F.explode(F.array(words("size - 1"), words("1 - size"))).alias("phrase")))
     kept = some.join(inner, ["lang", "phrase", "a"], "left_anti")
-    cuts = (kept.withColumn("w", F.split("phrase", " "))
-            .withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
-            .select("lang", "phrase", "a", "k",
-                    F.array_join(F.slice("w", F.lit(1), F.col("k")), " ").alias("first"),
-                    F.array_join(F.slice("w", F.col("k") + 1, F.col("size") - F.col("k")), " ").alias("rest")))
+    cuts = (kept.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
+            .select("lang", "phrase", "a", "k", words("k").alias("first"), words("k - size").alias("rest")))
     part = lambda name, value: counts.select("lang", F.col("phrase").alias(name), F.col("f").alias(value))
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     valued = (cuts.join(part("first", "l"), ["lang", "first"]).join(part("rest", "r"), ["lang", "rest"])
