@@ -62,7 +62,7 @@ DISTINCT = 1 << 20         # words with a count that a task holds
 PENDING = 1 << 22          # slots with a count that a task holds
 RUN = 1 << 18              # phrases of a run
 MERGED = 1 << 20           # phrases of a prefix partition that wait for a merge
-SPREAD = 4                 # prefix partitions of a task
+SPREAD, PREFIXES = 4, 256  # prefix partitions of a task, and of all at most
 PARTS = 16                 # parts of a language that are ranked on their own first
 
 #: fixed values: bytes that end a piece, bytes between words
@@ -338,31 +338,30 @@ def _packed_runs(lang: str, vocabulary: list[str], run, prefixes: int):
     words = pa.array(vocabulary, pa.string())
     h = _hashes(lang, words)
 
-    def batch(size, keys, counts):
+    def phrases(size, keys):
         ids = np.frombuffer(b"".join(keys), ">u4").reshape(-1, size // 4).astype(np.int32)
-        counts = np.fromiter(counts, np.int64, len(ids))
-        prefix = (_pair_hash(h[ids[:, 0]], h[ids[:, 1]]) % np.uint64(prefixes)).astype(np.int64)
+        return (pc.binary_join_element_wise(*[words.take(pa.array(ids[:, j])) for j in range(ids.shape[1])], " "),
+                (_pair_hash(h[ids[:, 0]], h[ids[:, 1]]) % np.uint64(prefixes)).astype(np.int64))
+
+    run = iter(run)
+    while some := list(islice(run, RUN)):
+        keys, counts = zip(*some)
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+        texts, prefix = zip(*(phrases(size, compress(keys, (sizes == size).tolist())) for size in np.unique(sizes).tolist()))
+        prefix = np.concatenate(prefix)
+        counts = np.fromiter(counts, np.int64, len(keys))[np.argsort(sizes, kind="stable")]
         order = np.argsort(prefix, kind="stable")
-        ids, counts = ids[order], counts[order]
-        phrases = pc.binary_join_element_wise(*[words.take(pa.array(ids[:, j])) for j in range(ids.shape[1])], " ")
+        counts = counts[order]
         first = np.searchsorted(prefix[order], np.arange(prefixes + 1))
         used = np.flatnonzero(np.diff(first))
         ends = np.append(first[used], len(counts)).astype(np.int32)
-        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), phrases), "\n")
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(texts).take(pa.array(order))), "\n")
         packed = [zstandard.compress(counts[a:b].tobytes() + x.as_buffer().to_pybytes())
                   for a, b, x in zip(ends, ends[1:], lines)]
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)),
              pa.array(np.diff(ends)), pa.array(packed, pa.binary())], ["lang", "prefix", "n", "run"])
 
-    run = iter(run)
-    while some := list(islice(run, RUN)):
-        keys, counts = zip(*some)
-        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
-        for size in np.unique(sizes).tolist():
-            here = (sizes == size).tolist()
-            yield batch(size, compress(keys, here), compress(counts, here))
-
 
 def _longer_hashes(h, joined, longest, sieve=None):
     """(size, starts, hashes) of the phrases of 2 .. ``longest`` words of a slice;
@@ -405,7 +404,7 @@ def phrase_runs(docs: DataFrame, passes, sizes: tuple[int, ...], limit: int = LI
     ``sieve`` count.  With ``longer`` (longest, least, slots) there are rows without
     a language, too: (range, counts of slots) as (prefix, run), for a sieve of phrases
     of 3 .. longest words."""
-    prefixes = SPREAD * _dealt(docs)
+    prefixes = min(SPREAD * _dealt(docs), PREFIXES)
 
     def slot_rows(seen):
         at, counts = seen.rows()
